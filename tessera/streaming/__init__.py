@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this library reproduces are all batch programs: there is no
+readStream / writeStream, watermark or stateful operator among them, so this
+package intentionally holds no operators.  Every operator in ``operators`` is
+a DataFrame -> DataFrame function and so can be applied inside
+``foreachBatch`` unchanged.
+"""
