@@ -704,21 +704,21 @@ def ctr_ohe_dictionary(spark, sf):
 
 
 @register("ctr_ohe_encode", _CTR_SPLIT + """
-SELECT l_orderkey, l_linenumber, label, array_to_string(list_sort(list(ohe_index)), ',') AS indices
-FROM train JOIN dict USING (feature_id, category) GROUP BY 1, 2, 3""")
+SELECT label, array_to_string(list_sort(list(ohe_index)), ',') AS indices
+FROM train JOIN dict USING (feature_id, category) GROUP BY rid, label""")
 def ctr_ohe_encode(spark, sf):
     tr, _, _ = _ctr_split(spark, sf)
     e = CT.ohe_encode(tr, CT.ohe_dictionary(tr))
-    return e.select(*CT.KEYS, "label", F.array_join("indices", ",").alias("indices"))
+    return e.select("label", F.array_join("indices", ",").alias("indices"))
 
 
 @register("ctr_ohe_unseen", _CTR_SPLIT + """
-SELECT l_orderkey, l_linenumber, count(d.ohe_index) AS n_known
-FROM (SELECT * FROM fs WHERE sb >= 80) v LEFT JOIN dict d USING (feature_id, category) GROUP BY 1, 2""")
+SELECT label, count(d.ohe_index) AS n_known
+FROM (SELECT * FROM fs WHERE sb >= 80) v LEFT JOIN dict d USING (feature_id, category) GROUP BY rid, label""")
 def ctr_ohe_unseen(spark, sf):
     tr, va, te = _ctr_split(spark, sf)
     e = CT.ohe_encode(va.unionByName(te), CT.ohe_dictionary(tr))
-    return e.select(*CT.KEYS, F.size("indices").cast("long").alias("n_known"))
+    return e.select("label", F.size("indices").cast("long").alias("n_known"))
 
 
 @register("ctr_category_counts", _CTR_SQL + """
@@ -744,14 +744,14 @@ def ctr_logreg(spark, sf):
 
 
 _WEIGHTS_CTE = _CTR_SPLIT + """
-, rate AS (SELECT avg(label) AS r FROM (SELECT DISTINCT l_orderkey, l_linenumber, label FROM train)),
+, rate AS (SELECT avg(label) AS r FROM (SELECT DISTINCT rid, label FROM train)),
 wts AS (SELECT feature_id, category, avg(label) - (SELECT r FROM rate) AS weight FROM train GROUP BY 1, 2),
 scored AS (
-  SELECT f.l_orderkey, f.l_linenumber, f.label,
+  SELECT f.rid, f.label,
          1.0 / (1.0 + exp(-least(greatest(ln((SELECT r FROM rate) / (1 - (SELECT r FROM rate)))
                                             + sum(coalesce(w.weight, 0.0)), -20.0), 20.0))) AS p
   FROM (SELECT * FROM fs WHERE sb >= 80) f LEFT JOIN wts w USING (feature_id, category)
-  GROUP BY 1, 2, 3)
+  GROUP BY 1, 2)
 """
 
 
@@ -763,24 +763,24 @@ def _ctr_scored(spark, sf):
 
 
 @register("ctr_probability", _WEIGHTS_CTE + """
-SELECT l_orderkey, l_linenumber, round(p, 8) AS p FROM scored""")
+SELECT label, round(p, 8) AS p FROM scored""")
 def ctr_probability(spark, sf):
     s, _ = _ctr_scored(spark, sf)
-    return s.select(*CT.KEYS, F.round("p", 8).alias("p"))
+    return s.select("label", F.round("p", 8).alias("p"))
 
 
 @register("ctr_log_loss", _WEIGHTS_CTE + """
-SELECT l_orderkey, l_linenumber, round(CASE WHEN label = 1 THEN -ln(p + 1e-16) ELSE -ln(1 - p + 1e-16) END, 6) AS log_loss
+SELECT label, round(CASE WHEN label = 1 THEN -ln(p + 1e-16) ELSE -ln(1 - p + 1e-16) END, 6) AS log_loss
 FROM scored""")
 def ctr_log_loss(spark, sf):
     s, _ = _ctr_scored(spark, sf)
-    return CT.with_log_loss(s).select(*CT.KEYS, F.round("log_loss", 6).alias("log_loss"))
+    return CT.with_log_loss(s).select("label", F.round("log_loss", 6).alias("log_loss"))
 
 
 @register("ctr_baseline_log_loss", _WEIGHTS_CTE + """
 SELECT round(avg(CASE WHEN label = 1 THEN -ln((SELECT r FROM rate) + 1e-16) ELSE -ln(1 - (SELECT r FROM rate) + 1e-16) END), 6)
        AS log_loss, round((SELECT r FROM rate), 6) AS base_rate
-FROM (SELECT DISTINCT l_orderkey, l_linenumber, label FROM fs WHERE sb >= 80)""")
+FROM (SELECT DISTINCT rid, label FROM fs WHERE sb >= 80)""")
 def ctr_baseline_log_loss(spark, sf):
     tr, va, te = _ctr_split(spark, sf)
     b = CT.baseline_log_loss(tr, va.unionByName(te))
@@ -818,18 +818,18 @@ _MD5_BUCKET_SQL = f"""
 
 
 @register("ctr_hash_features", _CTR_SQL + f"""
-SELECT l_orderkey, l_linenumber, CAST({_MD5_BUCKET_SQL} AS INTEGER) AS bucket, CAST(count(*) AS DOUBLE) AS value
-FROM (SELECT DISTINCT l_orderkey, l_linenumber, category || ':' || CAST(feature_id AS VARCHAR) AS k FROM feats)
-GROUP BY 1, 2, 3""")
+SELECT label, CAST({_MD5_BUCKET_SQL} AS INTEGER) AS bucket, CAST(count(*) AS DOUBLE) AS value
+FROM (SELECT DISTINCT rid, label, category || ':' || CAST(feature_id AS VARCHAR) AS k FROM feats)
+GROUP BY rid, label, 2""")
 def ctr_hash_features(spark, sf):
-    return CT.hashed_buckets(S.ad_clicks(spark, sf), NUM_BUCKETS)
+    return CT.hashed_buckets(S.ad_clicks(spark, sf), NUM_BUCKETS).drop(*CT.KEYS)
 
 
 @register("ctr_sparsity", _CTR_SQL + f"""
 , d AS (SELECT count(*) AS n FROM (SELECT DISTINCT feature_id, category FROM feats)),
-h AS (SELECT l_orderkey, l_linenumber, count(DISTINCT {_MD5_BUCKET_SQL}) AS nnz
-      FROM (SELECT DISTINCT l_orderkey, l_linenumber, category || ':' || CAST(feature_id AS VARCHAR) AS k FROM feats) GROUP BY 1, 2),
-o AS (SELECT l_orderkey, l_linenumber, count(DISTINCT (feature_id, category)) AS nnz FROM feats GROUP BY 1, 2)
+h AS (SELECT rid, count(DISTINCT {_MD5_BUCKET_SQL}) AS nnz
+      FROM (SELECT DISTINCT rid, category || ':' || CAST(feature_id AS VARCHAR) AS k FROM feats) GROUP BY 1),
+o AS (SELECT rid, count(DISTINCT (feature_id, category)) AS nnz FROM feats GROUP BY 1)
 SELECT round((SELECT avg(nnz / (SELECT n FROM d)) FROM o), 8) AS ohe_sparsity,
        round((SELECT avg(nnz / {float(NUM_BUCKETS)}) FROM h), 8) AS hashed_sparsity""")
 def ctr_sparsity(spark, sf):

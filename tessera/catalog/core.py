@@ -200,16 +200,16 @@ def parse_label_features(spark, sf):
 
 _CTR_SQL = """
 WITH recs AS (
-  SELECT l.l_orderkey, l.l_linenumber, CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+  SELECT row_number() OVER () AS rid, l.l_orderkey, l.l_linenumber, CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
          l.l_linestatus AS c0, p.p_brand AS c1, p.p_type AS c2, CAST(p.p_size AS VARCHAR) AS c3,
          CAST(s.s_nationkey AS VARCHAR) AS c4
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 feats AS (
-  SELECT l_orderkey, l_linenumber, label, 0::BIGINT AS feature_id, c0 AS category FROM recs
-  UNION ALL SELECT l_orderkey, l_linenumber, label, 1, c1 FROM recs
-  UNION ALL SELECT l_orderkey, l_linenumber, label, 2, c2 FROM recs
-  UNION ALL SELECT l_orderkey, l_linenumber, label, 3, c3 FROM recs
-  UNION ALL SELECT l_orderkey, l_linenumber, label, 4, c4 FROM recs)
+  SELECT rid, l_orderkey, l_linenumber, label, 0::BIGINT AS feature_id, c0 AS category FROM recs
+  UNION ALL SELECT rid, l_orderkey, l_linenumber, label, 1, c1 FROM recs
+  UNION ALL SELECT rid, l_orderkey, l_linenumber, label, 2, c2 FROM recs
+  UNION ALL SELECT rid, l_orderkey, l_linenumber, label, 3, c3 FROM recs
+  UNION ALL SELECT rid, l_orderkey, l_linenumber, label, 4, c4 FROM recs)
 """
 
 

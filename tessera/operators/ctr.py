@@ -1,7 +1,8 @@
 """Click-through-rate prediction: one-hot and hashed categorical features,
 logistic regression, log loss and ROC.
 
-Records carry ``feats`` = array<struct<_1: featureID long, _2: category string>>.
+Records carry a unique ``rid``, ``label`` and
+``feats`` = array<struct<_1: featureID long, _2: category string>>.
 """
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from ..functions.hashing import feature_key, md5_bucket
 from ..functions.ml import log_loss, sigmoid_clamped
 from ..plans import broadcast_if_small, dense_index, running_sums
 
-KEYS = ("l_orderkey", "l_linenumber")
+KEYS = ("rid",)
 
 
 def exploded(records: DataFrame) -> DataFrame:
@@ -55,10 +56,10 @@ def feature_frequency(records: DataFrame) -> DataFrame:
 
 
 def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
-    """(keys, bucket, value): md5 bucket counts of each record; equal keys collapse first."""
-    e = exploded(records).select(*KEYS, feature_key(F.col("feature_id"), F.col("category")).alias("key")) \
-                         .distinct()
-    return (e.groupBy(*KEYS, md5_bucket("key", num_buckets).alias("bucket"))
+    """(rid, label, bucket, value): md5 bucket counts of each record; equal keys collapse first."""
+    e = exploded(records).select(*KEYS, "label",
+                                 feature_key(F.col("feature_id"), F.col("category")).alias("key")).distinct()
+    return (e.groupBy(*KEYS, "label", md5_bucket("key", num_buckets).alias("bucket"))
              .agg(F.count(F.lit(1)).cast("double").alias("value")))
 
 

@@ -148,16 +148,20 @@ CTR_FEATURES = ("l_linestatus", "p_brand", "p_type", "p_size", "s_nationkey")
 
 
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, l_linenumber, label, feats array<struct<_1 long, _2 string>>)."""
+    """(rid, l_orderkey, l_linenumber, label, feats array<struct<_1 long, _2 string>>).
+
+    (l_orderkey, l_linenumber) is not unique in the table, so each record gets
+    ``rid``, a row id assigned on the scan (before any shuffle)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
-                                                  "l_suppkey", "l_returnflag", "l_linestatus")
+                                                  "l_suppkey", "l_returnflag", "l_linestatus") \
+        .withColumn("rid", F.monotonically_increasing_id())
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(broadcast_if_small(p), li.l_partkey == p.p_partkey) \
           .join(broadcast_if_small(s), li.l_suppkey == s.s_suppkey)
     feats = F.array(*[F.struct(F.lit(i).cast("long").alias("_1"), F.col(c).cast("string").alias("_2"))
                       for i, c in enumerate(CTR_FEATURES)])
-    return j.select("l_orderkey", "l_linenumber",
+    return j.select("rid", "l_orderkey", "l_linenumber",
                     (F.col("l_returnflag") == "R").cast("double").alias("label"),
                     feats.alias("feats"))
 
