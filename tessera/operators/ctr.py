@@ -56,11 +56,19 @@ def feature_frequency(records: DataFrame) -> DataFrame:
 
 
 def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
-    """(rid, label, bucket, value): md5 bucket counts of each record; equal keys collapse first."""
-    e = exploded(records).select(*KEYS, "label",
-                                 feature_key(F.col("feature_id"), F.col("category")).alias("key")).distinct()
-    return (e.groupBy(*KEYS, "label", md5_bucket("key", num_buckets).alias("bucket"))
-             .agg(F.count(F.lit(1)).cast("double").alias("value")))
+    """(rid, label, bucket, value): md5 bucket counts of each record.
+
+    Works inside each record's feature array (equal keys collapse first), so
+    it is a narrow, shuffle-free projection followed by an explode."""
+    keys = F.array_distinct(F.transform("feats", lambda f: feature_key(f.getField("_1"), f.getField("_2"))))
+    buckets = F.transform(keys, lambda k: md5_bucket(k, num_buckets))
+    per = records.select(*KEYS, "label", buckets.alias("_b"))
+    counted = F.transform(F.array_distinct("_b"),
+                          lambda b: F.struct(b.alias("bucket"),
+                                             F.size(F.filter("_b", lambda x: x == b)).cast("double")
+                                             .alias("value")))
+    return per.select(*KEYS, "label", F.explode(counted).alias("e")) \
+              .select(*KEYS, "label", F.col("e.bucket").alias("bucket"), F.col("e.value").alias("value"))
 
 
 def sparsity(records: DataFrame, dictionary_size: int, num_buckets: int) -> DataFrame:

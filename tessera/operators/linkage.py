@@ -136,28 +136,31 @@ def threshold_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
 
     fp(n): non-gold candidate pairs whose bin int(sim*100) >= n (suffix sum);
     fn(n): gold pairs with sim < n/100 (prefix sum); tp = gold - fn.
-    Everything is aggregated to at most 102 bin rows first, so the running
-    sums are over a fixed-size table."""
+    Candidates and gold pairs are labelled by one full outer join and reduced
+    by one aggregation to at most 2 x 103 bin rows; the running sums then run
+    over that fixed-size table."""
     spark = sims.sparkSession
-    gsims = true_dup_sims(sims, gold)
-    fp_bins = (sims.join(gold, ["id_a", "id_b"], "left_anti")
-                   .groupBy((F.col("sim") * N_THRESHOLDS).cast("int").alias("n"))
-                   .agg(F.count(F.lit(1)).alias("fp_bin")))
-    fn_bins = gsims.groupBy(_first_threshold_above(F.col("sim")).alias("n")) \
-                   .agg(F.count(F.lit(1)).alias("fn_bin"))
-    n_gold = gsims.agg(F.count(F.lit(1)).alias("n_gold"))
+    labelled = (sims.join(gold.withColumn("_gold", F.lit(True)), ["id_a", "id_b"], "full_outer")
+                    .select(F.coalesce("sim", F.lit(0.0)).alias("sim"),
+                            F.coalesce("_gold", F.lit(False)).alias("is_gold")))
+    key = F.when(F.col("is_gold"), _first_threshold_above(F.col("sim"))) \
+           .otherwise((F.col("sim") * N_THRESHOLDS).cast("int"))
+    bins = labelled.groupBy("is_gold", key.alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    per_n = bins.groupBy("n").agg(
+        F.sum(F.when(~F.col("is_gold"), F.col("c")).otherwise(0)).alias("fp_bin"),
+        F.sum(F.when(F.col("is_gold"), F.col("c")).otherwise(0)).alias("fn_bin"))
     spine = spark.range(0, N_THRESHOLDS + 3).select(F.col("id").cast("int").alias("n"))
-    t = (spine.join(fp_bins, "n", "left").join(fn_bins, "n", "left")
-              .na.fill({"fp_bin": 0, "fn_bin": 0}))
+    t = spine.join(per_n, "n", "full_outer").na.fill({"fp_bin": 0, "fn_bin": 0})
     suffix = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefix = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy(F.lit(0))
     t = (t.withColumn("fp", F.sum("fp_bin").over(suffix))
-          .withColumn("fn", F.sum("fn_bin").over(prefix)))
-    t = t.where(F.col("n") < N_THRESHOLDS)
-    g = n_gold.first()["n_gold"]
+          .withColumn("fn", F.sum("fn_bin").over(prefix))
+          .withColumn("n_gold", F.sum("fn_bin").over(everything)))
+    t = t.where((F.col("n") >= 0) & (F.col("n") < N_THRESHOLDS))
     return t.select(F.col("n").alias("threshold_bin"),
                     (F.col("n") / F.lit(float(N_THRESHOLDS))).alias("threshold"),
-                    (F.lit(g) - F.col("fn")).cast("long").alias("tp"),
+                    (F.col("n_gold") - F.col("fn")).cast("long").alias("tp"),
                     F.col("fp").cast("long").alias("fp"),
                     F.col("fn").cast("long").alias("fn"))
 
