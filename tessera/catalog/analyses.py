@@ -176,9 +176,12 @@ class _Link:
         self.ra = LK.record_tokens(S.catalogue_a(spark, sf))
         self.rb = LK.record_tokens(S.catalogue_b(spark, sf))
         self.corpus = LK.corpus_union(self.ra, self.rb)
-        self.idf = LK.idf(self.corpus)
-        self.wa = LK.tfidf(LK.tf(self.ra), self.idf)
-        self.wb = LK.tfidf(LK.tf(self.rb), self.idf)
+        # one TF pass over the whole corpus; IDF and both weight tables derive from it
+        self.tf_all = LK.tf(self.corpus)
+        self.idf = LK.idf_from_tf(self.tf_all, self.corpus.count())
+        w_all = LK.tfidf(self.tf_all, self.idf)
+        self.wa = w_all.where(F.col("source") == "A").drop("source")
+        self.wb = w_all.where(F.col("source") == "B").drop("source")
         self.spark, self.sf = spark, sf
 
     def sims(self):
@@ -206,7 +209,9 @@ def er_biggest_record(spark, sf):
 
 @register("er_tf", LINK_CTE + "SELECT rec_id, token, round(tf, 8) AS tf FROM tfa")
 def er_tf(spark, sf):
-    return LK.tf(_Link(spark, sf).ra).withColumn("tf", F.round("tf", 8))
+    L = _Link(spark, sf)
+    return (L.tf_all.where(F.col("source") == "A")
+             .select("rec_id", "token", F.round("tf", 8).alias("tf")))
 
 
 @register("er_corpus_union", LINK_CTE + """

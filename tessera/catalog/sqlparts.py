@@ -38,11 +38,10 @@ WITH ra AS (SELECT item_id AS rec_id, {ta} AS tokens FROM benchmark),
      wb AS (SELECT rec_id, token, tf * idf AS w FROM tfb JOIN idf USING (token)),
      na AS (SELECT rec_id, sqrt(sum(w * w)) AS norm FROM wa GROUP BY rec_id),
      nb AS (SELECT rec_id, sqrt(sum(w * w)) AS norm FROM wb GROUP BY rec_id),
-     sims AS (SELECT a.rec_id AS id_a, b.rec_id AS id_b,
-                     sum(a.w * b.w) / (max(x.norm) * max(y.norm)) AS sim
-              FROM wa a JOIN wb b USING (token) JOIN na x ON x.rec_id = a.rec_id
-                   JOIN nb y ON y.rec_id = b.rec_id
-              GROUP BY a.rec_id, b.rec_id),
+     ua AS (SELECT rec_id, token, w / norm AS u FROM wa JOIN na USING (rec_id)),
+     ub AS (SELECT rec_id, token, w / norm AS u FROM wb JOIN nb USING (rec_id)),
+     sims AS (SELECT a.rec_id AS id_a, b.rec_id AS id_b, sum(a.u * b.u) AS sim
+              FROM ua a JOIN ub b USING (token) GROUP BY a.rec_id, b.rec_id),
      gold AS (SELECT b.item_id AS id_a, d.doc_id AS id_b FROM benchmark b JOIN documents d
               ON length(b.text) > 0 AND contains(d.text, substr(b.text, 1, 40)))
 """.replace("{ta}", tokens_expr("text")).replace("{tb}", tokens_expr("text"))

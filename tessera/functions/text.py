@@ -22,26 +22,36 @@ def clean_text(c) -> Column:
 
 def split_words(c) -> Column:
     """Split a cleaned line on single spaces, dropping empty strings."""
-    return F.filter(F.split(_c(c), " "), lambda w: w != "")
+    return F.array_remove(F.split(_c(c), " "), "")
 
 
 def simple_tokenize(c) -> Column:
     """Lower-case, split on runs of non-word characters, drop empties (duplicates kept)."""
-    return F.filter(F.split(F.lower(_c(c)), r"\W+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_c(c)), r"\W+"), "")
 
 
 def stopword_array() -> Column:
     return F.array(*[F.lit(w) for w in STOPWORDS])
 
 
+def _stopword_pattern() -> str:
+    # a whole token: not preceded or followed by a word character
+    return r"(?<![A-Za-z0-9_])(?:" + "|".join(STOPWORDS) + r")(?![A-Za-z0-9_])"
+
+
 def remove_stopwords(tokens) -> Column:
-    """Drop stop words but keep duplicates and order (``array_except`` would de-duplicate)."""
+    """Drop stop words from a token array, keeping duplicates and order
+    (``array_except`` would de-duplicate)."""
     stops = stopword_array()
     return F.filter(_c(tokens), lambda t: ~F.array_contains(stops, t))
 
 
 def tokenize(c) -> Column:
-    return remove_stopwords(simple_tokenize(c))
+    """``simple_tokenize`` without stop words.  Stop-word tokens are blanked in
+    the lower-cased text before splitting (an exact token-bounded match), so
+    the whole expression stays in generated code — no per-token lambda."""
+    blanked = F.regexp_replace(F.lower(_c(c)), _stopword_pattern(), " ")
+    return F.array_remove(F.split(blanked, r"\W+"), "")
 
 
 def pluralize(c) -> Column:

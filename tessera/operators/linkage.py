@@ -31,11 +31,21 @@ def biggest_record(rt: DataFrame) -> DataFrame:
               .orderBy(F.desc("n_tokens"), F.asc("rec_id")).limit(1))
 
 
+def _keys(df: DataFrame) -> list[str]:
+    return ["source", "rec_id"] if "source" in df.columns else ["rec_id"]
+
+
 def tf(rt: DataFrame) -> DataFrame:
-    """(rec_id, token, tf): occurrences of the token / tokens in the record."""
-    exploded = rt.select("rec_id", F.size("tokens").alias("_n"), F.explode("tokens").alias("token"))
-    return (exploded.groupBy("rec_id", "token", "_n").count()
-                    .select("rec_id", "token", (F.col("count") / F.col("_n")).alias("tf")))
+    """(rec_id, token, tf): occurrences of the token / tokens in the record.
+    A ``source`` column, when present, is kept as part of the record key."""
+    keys = _keys(rt)
+    # explode_outer + null filter: an inner explode makes Spark infer a
+    # size(tokens) > 0 filter and push it (the whole tokenizer) below the
+    # input repartition; records without tokens yield no rows either way
+    exploded = rt.select(*keys, F.size("tokens").alias("_n"), F.explode_outer("tokens").alias("token")) \
+                 .where(F.col("token").isNotNull())
+    return (exploded.groupBy(*keys, "token", "_n").count()
+                    .select(*keys, "token", (F.col("count") / F.col("_n")).alias("tf")))
 
 
 def corpus_union(rt_a: DataFrame, rt_b: DataFrame) -> DataFrame:
@@ -44,23 +54,29 @@ def corpus_union(rt_a: DataFrame, rt_b: DataFrame) -> DataFrame:
                 .unionByName(rt_b.withColumn("source", F.lit("B"))))
 
 
+def idf_from_tf(tf_df: DataFrame, n_records: int) -> DataFrame:
+    """(token, idf = N / n(t)): the TF table has one row per (record, token),
+    so n(t) is its row count per token — no second pass over the text."""
+    return (tf_df.groupBy("token").count()
+                 .select("token", (F.lit(float(n_records)) / F.col("count")).alias("idf")))
+
+
 def idf(corpus: DataFrame) -> DataFrame:
     """(token, idf) with idf = N / n(t) — records in the corpus over records
     containing the token (no logarithm).  ``corpus`` has (source, rec_id, tokens)."""
-    n_records = corpus.count()
-    per_token = (corpus.select("source", "rec_id", F.explode(F.array_distinct("tokens")).alias("token"))
-                       .groupBy("token").count())
-    return per_token.select("token", (F.lit(float(n_records)) / F.col("count")).alias("idf"))
+    return idf_from_tf(tf(corpus), corpus.count())
 
 
 def tfidf(tf_df: DataFrame, idf_df: DataFrame) -> DataFrame:
     """(rec_id, token, w = tf * idf).  Tokens missing from ``idf_df`` drop out."""
+    keys = _keys(tf_df)
     return (tf_df.join(broadcast_if_small(idf_df), "token")
-                 .select("rec_id", "token", (F.col("tf") * F.col("idf")).alias("w")))
+                 .select(*keys, "token", (F.col("tf") * F.col("idf")).alias("w")))
 
 
 def norms(weights: DataFrame) -> DataFrame:
-    return weights.groupBy("rec_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    keys = _keys(weights)
+    return weights.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
 def inverted_index(weights: DataFrame) -> DataFrame:
@@ -80,22 +96,26 @@ def common_tokens(wa: DataFrame, wb: DataFrame) -> DataFrame:
     return j.groupBy("id_a", "id_b").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
 
 
+def normalized(weights: DataFrame, nrm: DataFrame | None = None) -> DataFrame:
+    """(rec_id, token, u = w / norm): unit-length weight vectors."""
+    nrm = nrm if nrm is not None else norms(weights)
+    return weights.join(nrm.select("rec_id", "norm"), "rec_id") \
+                  .select("rec_id", "token", (F.col("w") / F.col("norm")).alias("u"))
+
+
 def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
                     nb: DataFrame | None = None) -> DataFrame:
-    """(id_a, id_b, sim) for every pair sharing a token:
-    sum over shared tokens of w_a * w_b, divided by both norms (0 for a zero norm).
-    The products are summed per pair before the norms are joined, so the hot
-    token fan-out is aggregated map-side; norms are joined once per pair."""
-    na = na if na is not None else norms(wa)
-    nb = nb if nb is not None else norms(wb)
-    dots = (_pairs_on_token(wa, wb)
-            .groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot")))
-    na = na.select(F.col("rec_id").alias("id_a"), F.col("norm").alias("norm_a"))
-    nb = nb.select(F.col("rec_id").alias("id_b"), F.col("norm").alias("norm_b"))
-    out = dots.join(broadcast_if_small(na), "id_a").join(broadcast_if_small(nb), "id_b")
-    denom = F.col("norm_a") * F.col("norm_b")
-    sim = F.when(denom == 0, F.lit(0.0)).otherwise(F.col("dot") / denom)
-    return out.select("id_a", "id_b", sim.alias("sim"))
+    """(id_a, id_b, sim) for every pair sharing a token.
+
+    Weights are first scaled to unit length (one join per weight table, which
+    is far smaller than the pair table), then the token join emits
+    ``u_a * u_b`` and the products are summed per pair — partial sums are
+    combined map-side before the shuffle, and a hot token's fan-out is split
+    by AQE's skew handling.  Norms are positive for any record with a token."""
+    a = normalized(wa, na).select(F.col("rec_id").alias("id_a"), "token", F.col("u").alias("u_a"))
+    b = normalized(wb, nb).select(F.col("rec_id").alias("id_b"), "token", F.col("u").alias("u_b"))
+    return (a.join(b, "token").groupBy("id_a", "id_b")
+             .agg(F.sum(F.col("u_a") * F.col("u_b")).alias("sim")))
 
 
 def cosine_of_pairs(pairs: DataFrame, wa: DataFrame, wb: DataFrame) -> DataFrame:

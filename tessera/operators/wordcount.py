@@ -8,7 +8,10 @@ from ..functions.text import clean_text, split_words
 
 def words(lines: DataFrame, col: str = "value") -> DataFrame:
     """Cleaned lines -> one ``word`` per row, blanks dropped."""
-    return lines.select(F.explode(split_words(clean_text(col))).alias("word"))
+    # explode_outer + null filter keeps Spark from inferring a size() > 0
+    # filter and evaluating the cleaning twice
+    return lines.select(F.explode_outer(split_words(clean_text(col))).alias("word")) \
+                .where(F.col("word").isNotNull())
 
 
 def counts(words_df: DataFrame) -> DataFrame:

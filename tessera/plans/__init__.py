@@ -3,7 +3,8 @@ row numbering and running sums, and plan inspection for tests."""
 from .joins import broadcast_if_small, estimated_bytes
 from .lineage import cut_lineage
 from .indexing import dense_index, running_sums
+from .partitioning import spread
 from .inspect import physical_plan, assert_no_cartesian, assert_no_python_udf
 
 __all__ = ["broadcast_if_small", "estimated_bytes", "cut_lineage", "dense_index",
-           "running_sums", "physical_plan", "assert_no_cartesian", "assert_no_python_udf"]
+           "running_sums", "spread", "physical_plan", "assert_no_cartesian", "assert_no_python_udf"]
