@@ -59,14 +59,20 @@ def rmse(pred: DataFrame) -> float:
 
 
 def train_select_rank(train: DataFrame, val: DataFrame, ranks=(4, 8, 12), seed: int = 42):
-    """Fit ALS per rank; return (rows of (rank, val_rmse), best model)."""
+    """Fit ALS per rank; return (rows of (rank, val_rmse), best model).
+    Train and validation frames are cached for the loop only."""
     rows, best = [], None
-    for r in ranks:
-        model = als(r, seed).fit(train)
-        e = rmse(model.transform(val))
-        rows.append((r, float(e)))
-        if best is None or e < best[1]:
-            best = (model, e)
+    train, val = train.cache(), val.cache()
+    try:
+        for r in ranks:
+            model = als(r, seed).fit(train)
+            e = rmse(model.transform(val))
+            rows.append((r, float(e)))
+            if best is None or e < best[1]:
+                best = (model, e)
+    finally:
+        train.unpersist()
+        val.unpersist()
     return rows, best[0]
 
 
