@@ -10,5 +10,9 @@ def spread(df: DataFrame) -> DataFrame:
     heavy per-row work (tokenizing, hashing, regex parsing) uses every core.
     On a real data set the scan already has far more partitions and this is
     a no-op."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no classic SparkContext (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
