@@ -78,7 +78,7 @@ def _pattern_grams(pat_col, k: int, stride: int):
                        lambda o: F.substring(pat_col, o + 1, k))
 
 
-def containment_pairs(patterns: DataFrame, docs: DataFrame, k: int = 8) -> DataFrame:
+def containment_pairs(patterns: DataFrame, docs: DataFrame, k: int = 16) -> DataFrame:
     """(pat_id, doc_id) for every document whose ``text`` contains ``pat``.
 
     Exact, without comparing every pattern with every document.  A pattern of
@@ -89,7 +89,9 @@ def containment_pairs(patterns: DataFrame, docs: DataFrame, k: int = 8) -> DataF
     document grams with the pattern's s grams finds every true occurrence, and
     ``instr`` then verifies each candidate.  Patterns of one length class
     share one index: full-length patterns use s = L_max-k+1; shorter ones (if
-    any) get a second index at the stride of the shortest of them."""
+    any) get a second index at the stride of the shortest of them.  Longer
+    grams are more selective, so a gram that is common on both sides (the
+    only source of candidate fan-out) is rare; ``instr`` keeps it exact."""
     patterns = patterns.where(F.length("pat") > 0)
     lens = patterns.agg(F.max(F.length("pat")).alias("hi"), F.min(F.length("pat")).alias("lo")).first()
     if lens is None or lens["hi"] is None:

@@ -60,3 +60,12 @@ def test_running_sums_match_window(spark):
     w = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
     want = {r.k: r.c for r in per.withColumn("c", F.sum("v").over(w)).collect()}
     assert got == want
+
+
+def test_tokenizer_runs_once_per_catalogue(spark):
+    # explode_outer keeps Spark from inferring a size(tokens) > 0 filter and
+    # pushing a second copy of the tokenizer below the input spread
+    plan = physical_plan(QUERIES["er_idf"](spark, SF_SMALL))
+    lines = [l for l in plan.splitlines() if "regexp_replace(lower(" in l]
+    assert len(lines) == 2, lines
+    assert not any(l.strip().lstrip("+-: ").startswith("Filter") for l in lines), lines
