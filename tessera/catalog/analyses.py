@@ -195,10 +195,10 @@ class _Link:
 @register("er_token_total", LINK_CTE + """
 SELECT (SELECT sum(len(tokens)) FROM ra)::BIGINT AS tokens_a, (SELECT sum(len(tokens)) FROM rb)::BIGINT AS tokens_b""")
 def er_token_total(spark, sf):
-    L = _Link(spark, sf)
-    a = LK.token_total(L.ra).withColumnRenamed("total_tokens", "tokens_a").withColumn("_k", F.lit(1))
-    b = LK.token_total(L.rb).withColumnRenamed("total_tokens", "tokens_b").withColumn("_k", F.lit(1))
-    return a.join(b, "_k").drop("_k")
+    c = _Link(spark, sf).corpus
+    n = F.size("tokens")
+    return c.agg(F.sum(F.when(F.col("source") == "A", n)).cast("long").alias("tokens_a"),
+                 F.sum(F.when(F.col("source") == "B", n)).cast("long").alias("tokens_b"))
 
 
 @register("er_biggest_record", LINK_CTE + """

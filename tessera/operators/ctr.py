@@ -72,13 +72,13 @@ def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
 
 
 def sparsity(records: DataFrame, dictionary_size: int, num_buckets: int) -> DataFrame:
-    """Mean share of non-zero entries: one-hot vs hashed."""
-    ohe = exploded(records).select(*KEYS, "feature_id", "category").distinct() \
-                           .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("nnz"))
-    hashed = hashed_buckets(records, num_buckets).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("nnz"))
-    a = ohe.agg(F.avg(F.col("nnz") / F.lit(float(dictionary_size))).alias("ohe_sparsity"))
-    b = hashed.agg(F.avg(F.col("nnz") / F.lit(float(num_buckets))).alias("hashed_sparsity"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """Mean share of non-zero entries: one-hot vs hashed, in one narrow pass
+    (distinct (feature, category) pairs and distinct buckets per record)."""
+    pairs = F.array_distinct(F.transform("feats", lambda f: F.struct(f.getField("_1"), f.getField("_2"))))
+    keys = F.array_distinct(F.transform("feats", lambda f: feature_key(f.getField("_1"), f.getField("_2"))))
+    buckets = F.array_distinct(F.transform(keys, lambda k: md5_bucket(k, num_buckets)))
+    return records.agg(F.avg(F.size(pairs) / F.lit(float(dictionary_size))).alias("ohe_sparsity"),
+                       F.avg(F.size(buckets) / F.lit(float(num_buckets))).alias("hashed_sparsity"))
 
 
 # ------------------------------------------------------------------ models

@@ -69,3 +69,16 @@ def test_tokenizer_runs_once_per_catalogue(spark):
     lines = [l for l in plan.splitlines() if "regexp_replace(lower(" in l]
     assert len(lines) == 2, lines
     assert not any(l.strip().lstrip("+-: ").startswith("Filter") for l in lines), lines
+
+
+PYTHON_KEYS = {"filt_udf", "udf_scalar", "udf_array_struct", "udtf_flatmap", "pca_covariance",
+               "pca_center", "pca_project_line"}
+
+
+def test_no_cartesian_anywhere_and_python_only_where_meant(spark):
+    import __spark_entry__ as E
+    for key in sorted(E.oracle_sql()):
+        df = E.queries()[key](spark, SF_SMALL)
+        assert_no_cartesian(df)
+        if key not in PYTHON_KEYS:
+            assert_no_python_udf(df)
