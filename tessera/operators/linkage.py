@@ -103,6 +103,34 @@ def normalized(weights: DataFrame, nrm: DataFrame | None = None) -> DataFrame:
                   .select("rec_id", "token", (F.col("w") / F.col("norm")).alias("u"))
 
 
+# A token with more weight rows than this on the larger side is
+# "hot" and its join work is split over SALT_BUCKETS tasks.
+HOT_TOKEN_ROWS = 1_000_000
+SALT_BUCKETS = 16
+
+
+def salted_token_join(a: DataFrame, b: DataFrame, hot_rows: int = HOT_TOKEN_ROWS,
+                      buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Equi-join on ``token`` that splits hot tokens.
+
+    For a token with more than ``hot_rows`` rows in ``b``, the ``b`` rows are
+    spread over ``buckets`` salts and the ``a`` rows are copied to every salt,
+    so each (a, b) pair still meets exactly once but the work of one token is
+    shared by ``buckets`` tasks.  Other tokens use salt 0 only.  The hot-token
+    set has at most |b| / hot_rows entries and is broadcast only behind the
+    size check."""
+    hot = (b.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hot_rows).select("token", F.lit(True).alias("_hot")))
+    hot = broadcast_if_small(hot)
+    bh = b.join(hot, "token", "left")
+    bh = bh.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in b.columns if c != "token"]),
+                                                              F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+    ah = a.join(hot, "token", "left")
+    ah = ah.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+    return ah.drop("_hot").join(bh.drop("_hot"), ["token", "_salt"]).drop("_salt")
+
+
 def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
                     nb: DataFrame | None = None) -> DataFrame:
     """(id_a, id_b, sim) for every pair sharing a token.
@@ -110,11 +138,12 @@ def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
     Weights are first scaled to unit length (one join per weight table, which
     is far smaller than the pair table), then the token join emits
     ``u_a * u_b`` and the products are summed per pair — partial sums are
-    combined map-side before the shuffle, and a hot token's fan-out is split
-    by AQE's skew handling.  Norms are positive for any record with a token."""
+    combined map-side before the shuffle.  Hot tokens are salted
+    (``salted_token_join``) and AQE's skew-join splitting covers the rest.
+    Norms are positive for any record with a token."""
     a = normalized(wa, na).select(F.col("rec_id").alias("id_a"), "token", F.col("u").alias("u_a"))
     b = normalized(wb, nb).select(F.col("rec_id").alias("id_b"), "token", F.col("u").alias("u_b"))
-    return (a.join(b, "token").groupBy("id_a", "id_b")
+    return (salted_token_join(a, b).groupBy("id_a", "id_b")
              .agg(F.sum(F.col("u_a") * F.col("u_b")).alias("sim")))
 
 

@@ -82,3 +82,14 @@ def test_no_cartesian_anywhere_and_python_only_where_meant(spark):
         assert_no_cartesian(df)
         if key not in PYTHON_KEYS:
             assert_no_python_udf(df)
+
+
+def test_salted_token_join_is_exact(spark):
+    from tessera.operators.linkage import salted_token_join
+    a = spark.createDataFrame([(1, "hot", 1.0), (2, "hot", 2.0), (3, "cold", 3.0)], "id_a long, token string, u_a double")
+    b = spark.createDataFrame([(10 + i, "hot", 1.0) for i in range(50)] + [(99, "cold", 1.0)],
+                              "id_b long, token string, u_b double")
+    got = sorted(tuple(r) for r in salted_token_join(a, b, hot_rows=5, buckets=4)
+                 .select("id_a", "id_b", "token").collect())
+    want = sorted(tuple(r) for r in a.join(b, "token").select("id_a", "id_b", "token").collect())
+    assert got == want and len(got) == 101
