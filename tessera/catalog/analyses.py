@@ -185,7 +185,7 @@ class _Link:
         self.spark, self.sf = spark, sf
 
     def sims(self):
-        return LK.cosine_inverted(self.wa, self.wb)
+        return LK.cosine_inverted(self.wa, self.wb, hot=LK.hot_tokens(self.idf))
 
     def gold(self):
         return S.gold_pairs(self.spark, self.sf).select(F.col("item_id").alias("id_a"),
@@ -224,13 +224,13 @@ def er_corpus_union(spark, sf):
 
 @register("er_idf", LINK_CTE + "SELECT token, round(idf, 6) AS idf FROM idf")
 def er_idf(spark, sf):
-    return _Link(spark, sf).idf.withColumn("idf", F.round("idf", 6))
+    return _Link(spark, sf).idf.select("token", F.round("idf", 6).alias("idf"))
 
 
 @register("er_idf_smallest", LINK_CTE + """
 SELECT token, round(idf, 6) AS idf FROM idf ORDER BY idf, token LIMIT 11""")
 def er_idf_smallest(spark, sf):
-    i = _Link(spark, sf).idf
+    i = _Link(spark, sf).idf.select("token", "idf")
     return R.top_k(i, 11, F.asc("idf"), F.asc("token")).withColumn("idf", F.round("idf", 6))
 
 

@@ -58,7 +58,8 @@ def idf_from_tf(tf_df: DataFrame, n_records: int) -> DataFrame:
     """(token, idf = N / n(t)): the TF table has one row per (record, token),
     so n(t) is its row count per token — no second pass over the text."""
     return (tf_df.groupBy("token").count()
-                 .select("token", (F.lit(float(n_records)) / F.col("count")).alias("idf")))
+                 .select("token", (F.lit(float(n_records)) / F.col("count")).alias("idf"),
+                         F.col("count").alias("df")))
 
 
 def idf(corpus: DataFrame) -> DataFrame:
@@ -109,8 +110,14 @@ HOT_TOKEN_ROWS = 1_000_000
 SALT_BUCKETS = 16
 
 
+def hot_tokens(idf_df: DataFrame, hot_rows: int = HOT_TOKEN_ROWS) -> DataFrame:
+    """Tokens whose document frequency (= weight rows over both catalogues)
+    exceeds ``hot_rows``, read off the IDF table that already exists."""
+    return idf_df.where(F.col("df") > hot_rows).select("token", F.lit(True).alias("_hot"))
+
+
 def salted_token_join(a: DataFrame, b: DataFrame, hot_rows: int = HOT_TOKEN_ROWS,
-                      buckets: int = SALT_BUCKETS) -> DataFrame:
+                      buckets: int = SALT_BUCKETS, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join on ``token`` that splits hot tokens.
 
     For a token with more than ``hot_rows`` rows in ``b``, the ``b`` rows are
@@ -119,8 +126,9 @@ def salted_token_join(a: DataFrame, b: DataFrame, hot_rows: int = HOT_TOKEN_ROWS
     shared by ``buckets`` tasks.  Other tokens use salt 0 only.  The hot-token
     set has at most |b| / hot_rows entries and is broadcast only behind the
     size check."""
-    hot = (b.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows).select("token", F.lit(True).alias("_hot")))
+    if hot is None:
+        hot = (b.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > hot_rows).select("token", F.lit(True).alias("_hot")))
     hot = broadcast_if_small(hot)
     bh = b.join(hot, "token", "left")
     bh = bh.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in b.columns if c != "token"]),
@@ -132,7 +140,7 @@ def salted_token_join(a: DataFrame, b: DataFrame, hot_rows: int = HOT_TOKEN_ROWS
 
 
 def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
-                    nb: DataFrame | None = None) -> DataFrame:
+                    nb: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
     """(id_a, id_b, sim) for every pair sharing a token.
 
     Weights are first scaled to unit length (one join per weight table, which
@@ -143,7 +151,7 @@ def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
     Norms are positive for any record with a token."""
     a = normalized(wa, na).select(F.col("rec_id").alias("id_a"), "token", F.col("u").alias("u_a"))
     b = normalized(wb, nb).select(F.col("rec_id").alias("id_b"), "token", F.col("u").alias("u_b"))
-    return (salted_token_join(a, b).groupBy("id_a", "id_b")
+    return (salted_token_join(a, b, hot=hot).groupBy("id_a", "id_b")
              .agg(F.sum(F.col("u_a") * F.col("u_b")).alias("sim")))
 
 
