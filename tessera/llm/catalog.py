@@ -5,6 +5,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .e8 import lattice_components
+from .packing import pack_documents
 from .simhash import simhash_components
 from .tokencount import count_tokens
 
@@ -28,3 +30,15 @@ def op9_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op5_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op10_lattice_components(spark, sf_dir):
+    return lattice_components(table(spark, sf_dir, "embeddings"), least=0.9)
