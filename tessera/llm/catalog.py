@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 from .e8 import lattice_components
 from .packing import pack_documents
+from .permutation import permutation_search
 from .simhash import simhash_components
 from .tokencount import count_tokens
 
@@ -42,3 +43,8 @@ def op5_best_fit_packing(spark, sf_dir):
 @query
 def op10_lattice_components(spark, sf_dir):
     return lattice_components(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query
+def op1_permutation_index(spark, sf_dir):
+    return permutation_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
