@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .e8 import lattice_components
+from .mixing import mix_sources
 from .packing import pack_documents
 from .permutation import permutation_search
+from .secrets import KINDS, count_kind, secret_spans, span_digest, span_text
 from .simhash import simhash_components
 from .tokencount import count_tokens
 
@@ -48,3 +50,36 @@ def op10_lattice_components(spark, sf_dir):
 @query
 def op1_permutation_index(spark, sf_dir):
     return permutation_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op4_secret_links(spark, sf_dir):
+    out = secret_spans(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin([k.name for k in KINDS if k.strong]))
+    return out.select("doc_id", *[count_kind(spans, k.name).alias(f"n_{k.name}") for k in KINDS],
+                      span_digest(base).alias("base_sha256"), span_text(spans).alias("spans"))
+
+
+@query
+def op8_poisson_mixture(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_poisson_mixture"] = """
+WITH sizes AS (SELECT source, sum(coalesce(length(text), 0)) AS chars FROM documents GROUP BY source),
+whole AS (SELECT sum(chars)::DOUBLE AS total, count(*) FILTER (chars > 0)::DOUBLE AS weight FROM sizes),
+rates AS (SELECT source, CASE WHEN chars > 0 THEN total * (1.0::DOUBLE / weight) / chars ELSE 1.0 END::DOUBLE AS rate
+          FROM sizes, whole),
+steps AS (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM rates),
+logs AS (SELECT source, rate, k, sum(ln(greatest(k, 1)::DOUBLE)) OVER (PARTITION BY source ORDER BY k) AS lf FROM steps),
+cdfs AS (SELECT source, k, sum(exp(k * ln(rate) - rate - lf)) OVER (PARTITION BY source ORDER BY k) AS cdf FROM logs),
+tables AS (SELECT source, list(cdf ORDER BY k) AS cdf FROM cdfs GROUP BY source),
+drawn AS (
+  SELECT d.*, len(list_filter(cdf, lambda p: p < (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
+                                            ::DOUBLE + 1) / 4503599627370496.0)) AS times
+  FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source),
+copies AS (SELECT * EXCLUDE (times), unnest(range(0, times))::INT AS copy FROM drawn)
+SELECT *, (('0x' || substr(md5('mix/place:' || coalesce(doc_id::VARCHAR, '') || ':' || copy::VARCHAR), 1, 13))::BIGINT
+           ::DOUBLE + 1) / 4503599627370496.0 AS place FROM copies
+"""
