@@ -5,6 +5,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .common import shared_path
 from .e8 import lattice_components
 from .mixing import mix_sources
 from .packing import pack_documents
@@ -12,6 +13,7 @@ from .permutation import permutation_search
 from .secrets import KINDS, count_kind, secret_spans, span_digest, span_text
 from .simhash import simhash_components
 from .tokencount import count_tokens
+from .warc import read_records, write_bundles
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +85,11 @@ copies AS (SELECT * EXCLUDE (times), unnest(range(0, times))::INT AS copy FROM d
 SELECT *, (('0x' || substr(md5('mix/place:' || coalesce(doc_id::VARCHAR, '') || ':' || copy::VARCHAR), 1, 13))::BIGINT
            ::DOUBLE + 1) / 4503599627370496.0 AS place FROM copies
 """
+
+
+@query
+def op6_warc_bundles(spark, sf_dir):
+    folder = shared_path(spark, "warc")
+    index = write_bundles(table(spark, sf_dir, "pages"), folder)
+    out = read_records(index, folder, payload=False)
+    return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
