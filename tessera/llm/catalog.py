@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 from .common import shared_path
 from .e8 import lattice_components
+from .langid import is_held_out, predict, train
 from .mixing import mix_sources
 from .packing import pack_documents
 from .permutation import permutation_search
@@ -93,3 +94,10 @@ def op6_warc_bundles(spark, sf_dir):
     index = write_bundles(table(spark, sf_dir, "pages"), folder)
     out = read_records(index, folder, payload=False)
     return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = predict(docs.select("doc_id", "text"), train(docs))
+    return out.select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
