@@ -11,6 +11,7 @@ from .langid import is_held_out, predict, train
 from .mixing import mix_sources
 from .packing import pack_documents
 from .permutation import permutation_search
+from .pii import KINDS as PII_KINDS, all_spans, count_rank, find_pii
 from .secrets import KINDS, count_kind, secret_spans, span_digest, span_text
 from .simhash import simhash_components
 from .tokencount import count_tokens
@@ -101,3 +102,14 @@ def op3_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = predict(docs.select("doc_id", "text"), train(docs))
     return out.select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op2_pii_spans(spark, sf_dir):
+    out = find_pii(table(spark, sf_dir, "documents"))
+    none = F.array().cast("array<struct<start:int,end:int,part:double>>")
+    return out.select(
+        "doc_id", *[count_rank(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(PII_KINDS)],
+        F.size("terms").cast("long").alias("n_term"),
+        F.sha2(all_spans(F.col("base"), none), 256).alias("base_sha256"),
+        all_spans(F.col("base"), F.col("terms")).alias("spans"))
