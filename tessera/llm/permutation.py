@@ -66,12 +66,12 @@ def _search(pivots: np.ndarray, longest: float, dim: int, prefix: int, k: int, s
             return FOUND.empty_table()
         x = matrix(index.column("vec"), dim).astype(np.float64)
         ids = index.column("id").to_numpy()
-        q = matrix(queries.column("vec"), dim).astype(np.float64)
+        q = matrix(queries.column("q_vec"), dim).astype(np.float64)
         files = InvertedFiles(nearest_pivots(lift(x, longest), pivots, prefix), len(pivots))
         norm = np.linalg.norm(q, axis=1, keepdims=True)
         orders = nearest_pivots(np.column_stack([q / norm, np.zeros(len(q))]), pivots, prefix)
         take = min(len(x), max(math.ceil(share * len(x)), least) + 1)  # one more: the query itself
-        qid, rid = queries.column("id").to_numpy(), queries.column("row").to_numpy()
+        qid, rid = queries.column("q_id").to_numpy(), queries.column("q_row").to_numpy()
         own = index.column("row").to_numpy()
         out: list[tuple] = []
         for i in range(len(q)):
@@ -128,9 +128,12 @@ def permutation_search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col:
     index = rows.withColumn("shard", shard).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = rows.where("query").withColumn("block", block).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = index.select("shard", F.col("block").cast("int"), "id", "row", "vec").groupBy("shard", "block").cogroup(
-        asked.select(F.col("shard").cast("long"), F.col("block").cast("int"), "id", "row", "vec").groupBy(
-            "shard", "block")).applyInArrow(_search(piv, longest, dim, prefix, k, share, least),
+    # names of their own: both sides come from the same table
+    asked = asked.select(F.col("shard").cast("long").alias("q_shard"), F.col("block").cast("int").alias("q_block"),
+                         F.col("id").alias("q_id"), F.col("row").alias("q_row"), F.col("vec").alias("q_vec"))
+    found = index.select("shard", F.col("block").cast("int").alias("block"), "id", "row", "vec").groupBy(
+        "shard", "block").cogroup(asked.groupBy("q_shard", "q_block")).applyInArrow(
+        _search(piv, longest, dim, prefix, k, share, least),
         "query_id long, query_row long, id long, score double")
     w = Window.partitionBy("query_row").orderBy(F.desc("score"), "id")
     out = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
