@@ -3,10 +3,10 @@
 Pieces shorter than a sequence are dealt to partitions and packed there by
 best-fit decreasing.  A dual-feasible function f bounds the bins from below by
 ceil(sum f(length) / f(capacity)); a partition whose number of bins meets the
-best of a family of such bounds is certified and done.  Of the others, full
-bins are kept, and the documents of bins with gaps are exchanged: dealt anew,
-to fewer partitions, and packed again, until all is certified or the one
-partition left does not improve.
+best of a family of such bounds is certified, and done but for its emptiest bin.
+Of the others, full bins are kept.  The documents of all other bins are
+exchanged: dealt anew, to fewer partitions, and packed again, down to one
+partition whose bins are final.
 """
 from __future__ import annotations
 
@@ -116,6 +116,8 @@ def _packer(capacity: int, round_: int, last: bool):
         where, offset, room = best_fit_decreasing(n, capacity)
         bound = lower_bound(np.bincount(n, minlength=capacity + 1), capacity)
         done = np.full(len(room), len(room) <= bound or last) | (room == 0)
+        if not last and len(room) > 1:
+            done[room.argmax()] = False  # a certified partition still hands on its emptiest bin
         part = int(key[0])
         return pd.DataFrame({
             "piece_id": pdf["piece_id"], "length": n, "offset": offset, "done": done[where],
