@@ -3,6 +3,8 @@ ratings / ALS, regression pipelines, first-principles linear regression,
 click-through-rate prediction and PCA / time-series folds."""
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from ..operators import regression as RG
 from ..operators import relational as R
 from ..operators import weblog as WL
 from ..operators import wordcount as WC
+from ..plans import cut_lineage
 from ..sources import standins as S
 from .core import _CTR_SQL
 from .registry import register
@@ -170,27 +173,68 @@ def log_404_by_hour(spark, sf):
 
 # =========================================================== record linkage
 class _Link:
-    """The linkage chain for one (spark, sf): tokens -> TF -> IDF -> weights -> norms."""
+    """The linkage chain for one (spark, sf): tokens -> TF -> IDF -> weights -> unit vectors."""
 
     def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
         self.ra = LK.record_tokens(S.catalogue_a(spark, sf))
         self.rb = LK.record_tokens(S.catalogue_b(spark, sf))
         self.corpus = LK.corpus_union(self.ra, self.rb)
         # one TF pass over the whole corpus; IDF and both weight tables derive from it
         self.tf_all = LK.tf(self.corpus)
-        self.idf = LK.idf_from_tf(self.tf_all, self.corpus.count())
-        w_all = LK.tfidf(self.tf_all, self.idf)
-        self.wa = w_all.where(F.col("source") == "A").drop("source")
-        self.wb = w_all.where(F.col("source") == "B").drop("source")
-        self.spark, self.sf = spark, sf
+
+    @cached_property
+    def sizes(self):
+        """Records of each catalogue, from the tables alone."""
+        return S.catalogue_a(self.spark, self.sf).count(), S.catalogue_b(self.spark, self.sf).count()
+
+    @cached_property
+    def idf(self):
+        return LK.idf_from_tf(self.tf_all, sum(self.sizes))
+
+    @cached_property
+    def weights(self):
+        return LK.tfidf(self.tf_all, self.idf)
+
+    def side(self, df, name):
+        return df.where(F.col("source") == name).drop("source")
+
+    @property
+    def wa(self):
+        return self.side(self.weights, "A")
+
+    @property
+    def wb(self):
+        return self.side(self.weights, "B")
+
+    @cached_property
+    def units(self):
+        """(source, rec_id, token, u) and (token, df), written once: the joins below read them several times."""
+        unit = cut_lineage(LK.normalized(self.weights))
+        return unit, cut_lineage(unit.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+
+    @property
+    def ua(self):
+        return self.side(self.units[0], "A")
+
+    @property
+    def ub(self):
+        return self.side(self.units[0], "B")
 
     def sims(self):
-        return LK.cosine_inverted(self.wa, self.wb, hot=LK.hot_tokens(self.idf))
+        return LK.similar_pairs(self.ua, self.ub, self.units[1])
 
     def gold(self):
         return S.gold_pairs(self.spark, self.sf).select(F.col("item_id").alias("id_a"),
                                                         F.col("doc_id").alias("id_b"))
 
+    def gold_sims(self):
+        return cut_lineage(LK.cosine_of_pairs(self.gold(), self.ua, self.ub))
+
+    @property
+    def n_pairs(self):
+        return self.sizes[0] * self.sizes[1]
+
 
 @register("er_token_total", LINK_CTE + """
 SELECT (SELECT sum(len(tokens)) FROM ra)::BIGINT AS tokens_a, (SELECT sum(len(tokens)) FROM rb)::BIGINT AS tokens_b""")
@@ -207,11 +251,11 @@ def er_biggest_record(spark, sf):
     return LK.biggest_record(_Link(spark, sf).rb)
 
 
-@register("er_tf", LINK_CTE + "SELECT rec_id, token, round(tf, 8) AS tf FROM tfa")
+@register("er_tf", LINK_CTE + """
+SELECT 'A' AS source, rec_id, token, round(tf, 8) AS tf FROM tfa
+UNION ALL SELECT 'B', rec_id, token, round(tf, 8) FROM tfb""")
 def er_tf(spark, sf):
-    L = _Link(spark, sf)
-    return (L.tf_all.where(F.col("source") == "A")
-             .select("rec_id", "token", F.round("tf", 8).alias("tf")))
+    return _Link(spark, sf).tf_all.select("source", "rec_id", "token", F.round("tf", 8).alias("tf"))
 
 
 @register("er_corpus_union", LINK_CTE + """
@@ -262,7 +306,7 @@ def er_norms(spark, sf):
 SELECT g.id_a, g.id_b, round(coalesce(s.sim, 0.0), 6) AS sim FROM gold g LEFT JOIN sims s USING (id_a, id_b)""")
 def er_cosine_pair(spark, sf):
     L = _Link(spark, sf)
-    out = LK.cosine_of_pairs(L.gold(), L.wa, L.wb)
+    out = LK.cosine_of_pairs(L.gold(), L.ua, L.ub)
     return out.select("id_a", "id_b", F.round("sim", 6).alias("sim"))
 
 
@@ -274,60 +318,68 @@ def er_inverted_index(spark, sf):
             .unionByName(LK.inverted_index(L.wb).withColumn("source", F.lit("B"))))
 
 
-@register("er_common_tokens", LINK_CTE + """
-SELECT a.rec_id AS id_a, b.rec_id AS id_b, count(*) AS n_common,
-       array_to_string(list_sort(list(token)), ' ') AS tokens
-FROM wa a JOIN wb b USING (token) GROUP BY a.rec_id, b.rec_id""")
+# pairs are reported from the least similarity on (0.01): shared frequent words alone make no pair
+_NEAR_CTE = LINK_CTE + f", near AS (SELECT id_a, id_b, sim FROM sims WHERE sim >= {LK.LEAST_SIM})"
+
+
+@register("er_common_tokens", _NEAR_CTE + """
+SELECT n.id_a, n.id_b, count(*) AS n_common, array_to_string(list_sort(list(token)), ' ') AS tokens
+FROM near n JOIN wa a ON a.rec_id = n.id_a JOIN wb b USING (token) WHERE b.rec_id = n.id_b GROUP BY 1, 2""")
 def er_common_tokens(spark, sf):
     L = _Link(spark, sf)
-    c = LK.common_tokens(L.wa, L.wb)
+    c = LK.common_tokens(L.sims(), L.ua, L.ub)
     return c.select("id_a", "id_b", F.size("tokens").cast("long").alias("n_common"),
                     F.array_join("tokens", " ").alias("tokens"))
 
 
-@register("join_token_inverted", LINK_CTE + """
-SELECT a.rec_id AS id_a, b.rec_id AS id_b, count(*) AS n_common FROM wa a JOIN wb b USING (token) GROUP BY 1, 2""")
+@register("join_token_inverted", _NEAR_CTE + """
+SELECT n.id_a, n.id_b, count(*) AS n_common
+FROM near n JOIN wa a ON a.rec_id = n.id_a JOIN wb b USING (token) WHERE b.rec_id = n.id_b GROUP BY 1, 2""")
 def join_token_inverted(spark, sf):
     L = _Link(spark, sf)
-    a = L.wa.select(F.col("rec_id").alias("id_a"), "token")
-    b = L.wb.select(F.col("rec_id").alias("id_b"), "token")
-    return a.join(b, "token").groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("n_common"))
+    return LK.common_tokens(L.sims(), L.ua, L.ub).select("id_a", "id_b",
+                                                         F.size("tokens").cast("long").alias("n_common"))
 
 
-@register("er_cosine_inverted", LINK_CTE + "SELECT id_a, id_b, round(sim, 6) AS sim FROM sims")
+@register("er_cosine_inverted", _NEAR_CTE + "SELECT id_a, id_b, round(sim, 6) AS sim FROM near")
 def er_cosine_inverted(spark, sf):
     return _Link(spark, sf).sims().withColumn("sim", F.round("sim", 6))
 
 
-@register("er_gold_eval", LINK_CTE + """
-SELECT (SELECT count(*) FROM sims JOIN gold USING (id_a, id_b)) AS true_pairs,
-       (SELECT round(avg(sim), 6) FROM sims JOIN gold USING (id_a, id_b)) AS avg_sim_true,
-       (SELECT count(*) FROM sims ANTI JOIN gold USING (id_a, id_b)) AS other_pairs,
-       (SELECT round(avg(sim), 6) FROM sims ANTI JOIN gold USING (id_a, id_b)) AS avg_sim_other""")
+_GOLD_SQL = LINK_CTE + """,
+gsims AS (SELECT g.id_a, g.id_b, coalesce(s.sim, 0.0) AS sim FROM gold g LEFT JOIN sims s USING (id_a, id_b)),
+n_all AS (SELECT (SELECT count(*) FROM ra) * (SELECT count(*) FROM rb) AS n)
+"""
+
+
+@register("er_gold_eval", _GOLD_SQL + """
+SELECT (SELECT count(*) FROM gsims) AS true_pairs, (SELECT round(avg(sim), 6) FROM gsims) AS avg_sim_true,
+       (n - (SELECT count(*) FROM gsims))::BIGINT AS other_pairs,
+       round(((SELECT sum(sim) FROM sims) - (SELECT coalesce(sum(sim), 0.0) FROM gsims))
+             / (n - (SELECT count(*) FROM gsims)), 9) AS avg_sim_other FROM n_all""")
 def er_gold_eval(spark, sf):
     L = _Link(spark, sf)
-    e = LK.gold_eval(L.sims(), L.gold())
+    total = LK.similarity_total(L.ua, L.ub).first()["total"]
+    e = LK.gold_eval(L.gold_sims(), total, L.n_pairs)
     return e.select("true_pairs", F.round("avg_sim_true", 6).alias("avg_sim_true"), "other_pairs",
-                    F.round("avg_sim_other", 6).alias("avg_sim_other"))
+                    F.round("avg_sim_other", 9).alias("avg_sim_other"))
 
 
-@register("er_true_dup_sims", LINK_CTE + """
-SELECT g.id_a, g.id_b, round(coalesce(s.sim, 0.0), 6) AS sim FROM gold g LEFT JOIN sims s USING (id_a, id_b)""")
+@register("er_true_dup_sims", _GOLD_SQL + "SELECT id_a, id_b, round(sim, 6) AS sim FROM gsims")
 def er_true_dup_sims(spark, sf):
-    L = _Link(spark, sf)
-    return LK.true_dup_sims(L.sims(), L.gold()).withColumn("sim", F.round("sim", 6))
+    return _Link(spark, sf).gold_sims().withColumn("sim", F.round("sim", 6))
 
 
-_THRESH_SQL = LINK_CTE + """,
-gsims AS (SELECT g.id_a, g.id_b, coalesce(s.sim, 0.0) AS sim FROM gold g LEFT JOIN sims s USING (id_a, id_b)),
+_THRESH_SQL = _GOLD_SQL + """,
 fpr AS (SELECT s.sim FROM sims s ANTI JOIN gold USING (id_a, id_b)),
 th AS (SELECT n FROM range(0, 100) t(n)),
 counts AS (
   SELECT th.n AS threshold_bin, th.n / 100.0 AS threshold,
-         (SELECT count(*) FROM fpr WHERE CAST(floor(fpr.sim * 100) AS INTEGER) >= th.n) AS fp,
+         CASE WHEN th.n = 0 THEN n_all.n - (SELECT count(*) FROM gsims)
+              ELSE (SELECT count(*) FROM fpr WHERE CAST(floor(fpr.sim * 100) AS INTEGER) >= th.n) END AS fp,
          (SELECT count(*) FROM gsims WHERE gsims.sim < th.n / 100.0) AS fn,
          (SELECT count(*) FROM gsims) AS n_gold
-  FROM th)
+  FROM th, n_all)
 """
 
 
@@ -336,7 +388,7 @@ SELECT threshold_bin::INTEGER AS threshold_bin, threshold, (n_gold - fn)::BIGINT
 FROM counts""")
 def er_threshold_counts(spark, sf):
     L = _Link(spark, sf)
-    return LK.threshold_counts(L.sims(), L.gold())
+    return LK.threshold_counts(L.sims(), L.gold_sims(), L.n_pairs)
 
 
 @register("er_pr_curve", _THRESH_SQL + """
@@ -347,7 +399,7 @@ FROM (SELECT threshold_bin, threshold,
              CASE WHEN n_gold > 0 THEN (n_gold - fn) / n_gold ELSE 0.0 END AS recall FROM counts)""")
 def er_pr_curve(spark, sf):
     L = _Link(spark, sf)
-    c = LK.pr_curve(LK.threshold_counts(L.sims(), L.gold()))
+    c = LK.pr_curve(LK.threshold_counts(L.sims(), L.gold_sims(), L.n_pairs))
     return c.select("threshold_bin", "threshold", *[F.round(x, 6).alias(x)
                                                     for x in ("precision", "recall", "f_measure")])
 
@@ -535,7 +587,7 @@ def reg_tree(spark, sf):
 @register("reg_forest")
 def reg_forest(spark, sf):
     tr, te = _power_split(spark, sf)
-    cv = RG.cv_forest(tr, REG_COLS, trees=10)
+    cv = RG.cv_forest(tr, REG_COLS)
     return RG.rmse_r2(cv.bestModel.transform(te))
 
 
@@ -544,7 +596,8 @@ def reg_compare(spark, sf):
     tr, te = _power_split(spark, sf)
     lin = RG.linear_pipeline(REG_COLS).fit(tr)
     out = None
-    for name, model in (("linear", lin), ("tree", RG.cv_tree(tr, REG_COLS).bestModel)):
+    for name, model in (("linear", lin), ("tree", RG.cv_tree(tr, REG_COLS).bestModel),
+                        ("forest", RG.cv_forest(tr, REG_COLS).bestModel)):
         m = RG.rmse_r2(model.transform(te)).withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
     return out
@@ -585,16 +638,13 @@ def lin_shift_label(spark, sf):
 SELECT CASE WHEN sb < 80 THEN 'train' WHEN sb < 90 THEN 'val' ELSE 'test' END AS part,
        round(sqrt(avg((label - (SELECT m FROM mu)) ^ 2)), 4) AS rmse FROM split GROUP BY 1""")
 def lin_baseline_rmse(spark, sf):
-    tr, va, te = _lin_split(spark, sf)
-    vals = LN.baseline_rmse(tr, va, te)
-    mu = tr.agg(F.avg("label")).first()[0]
-    parts = [("train", tr), ("val", va), ("test", te)]
+    parts = _lin_split(spark, sf)
+    mu = F.lit(parts[0].agg(F.avg("label")).first()[0])
     out = None
-    for name, d in parts:
-        e = F.col("label") - F.lit(mu)
+    for name, d in zip(("train", "val", "test"), parts):
+        e = F.col("label") - mu
         x = d.agg(_r4(F.sqrt(F.avg(e * e))).alias("rmse")).withColumn("part", F.lit(name))
         out = x if out is None else out.unionByName(x)
-    del vals
     return out.select("part", "rmse")
 
 
@@ -634,7 +684,7 @@ w{i + 1} AS (SELECT a - 1.0 / (n * sqrt({i + 1})) * g0 AS a, b - 1.0 / (n * sqrt
     return "".join(parts) + "\n" + sel
 
 
-_GD_ITERS = 3
+_GD_ITERS = 50
 
 
 @register("lin_gradient_descent", _gd_sql(_GD_ITERS))

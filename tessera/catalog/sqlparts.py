@@ -43,5 +43,5 @@ WITH ra AS (SELECT item_id AS rec_id, {ta} AS tokens FROM benchmark),
      sims AS (SELECT a.rec_id AS id_a, b.rec_id AS id_b, sum(a.u * b.u) AS sim
               FROM ua a JOIN ub b USING (token) GROUP BY a.rec_id, b.rec_id),
      gold AS (SELECT b.item_id AS id_a, d.doc_id AS id_b FROM benchmark b JOIN documents d
-              ON length(b.text) > 0 AND contains(d.text, substr(b.text, 1, 40)))
+              ON length(b.text) > 0 AND contains(d.text, b.text))
 """.replace("{ta}", tokens_expr("text")).replace("{tb}", tokens_expr("text"))

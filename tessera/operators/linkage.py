@@ -2,19 +2,21 @@
 
 Weights are kept in long form ``(rec_id, token, w)``; every per-record
 dictionary and broadcast dictionary of the original programs becomes a join.
-Candidate pairs come from an inverted index: the two weight tables are joined
-on ``token`` and the products are summed per record pair — pairs that share
-no token are never produced, and no pair list or dictionary is collected.
+Similar pairs come from an exact prefix-filtered join: of each record only the
+rarest tokens are joined, down to where the rest of its unit vector is shorter
+than the least similarity asked for; the pairs found are verified on all tokens.
+Sums over all pairs are taken per token, without any pair.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import tokenize
-from ..plans import broadcast_if_small
 
-# Threshold sweep resolution (100 thresholds, 101 bins).
+# Threshold sweep resolution (100 thresholds, 101 bins) and the
+# least similarity of a pair that is reported (one step of that sweep).
 N_THRESHOLDS = 100
+LEAST_SIM = 1 / N_THRESHOLDS
 
 
 def record_tokens(recs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -39,9 +41,7 @@ def tf(rt: DataFrame) -> DataFrame:
     """(rec_id, token, tf): occurrences of the token / tokens in the record.
     A ``source`` column, when present, is kept as part of the record key."""
     keys = _keys(rt)
-    # explode_outer + null filter: an inner explode makes Spark infer a
-    # size(tokens) > 0 filter and push it (the whole tokenizer) below the
-    # input repartition; records without tokens yield no rows either way
+    # an inner explode would make Spark filter on size(tokens), and tokenize twice
     exploded = rt.select(*keys, F.size("tokens").alias("_n"), F.explode_outer("tokens").alias("token")) \
                  .where(F.col("token").isNotNull())
     return (exploded.groupBy(*keys, "token", "_n").count()
@@ -71,7 +71,7 @@ def idf(corpus: DataFrame) -> DataFrame:
 def tfidf(tf_df: DataFrame, idf_df: DataFrame) -> DataFrame:
     """(rec_id, token, w = tf * idf).  Tokens missing from ``idf_df`` drop out."""
     keys = _keys(tf_df)
-    return (tf_df.join(broadcast_if_small(idf_df), "token")
+    return (tf_df.join(idf_df, "token")
                  .select(*keys, "token", (F.col("tf") * F.col("idf")).alias("w")))
 
 
@@ -85,100 +85,72 @@ def inverted_index(weights: DataFrame) -> DataFrame:
     return weights.select("token", "rec_id")
 
 
-def _pairs_on_token(wa: DataFrame, wb: DataFrame) -> DataFrame:
-    a = wa.select(F.col("rec_id").alias("id_a"), "token", F.col("w").alias("w_a"))
-    b = wb.select(F.col("rec_id").alias("id_b"), "token", F.col("w").alias("w_b"))
-    return a.join(b, "token")
+def common_tokens(pairs: DataFrame, wa: DataFrame, wb: DataFrame) -> DataFrame:
+    """(id_a, id_b, tokens): the sorted shared tokens of each given pair."""
+    return _shared(pairs, wa.select("rec_id", "token"), wb.select("rec_id", "token")).groupBy("id_a", "id_b").agg(
+        F.array_sort(F.collect_list("token")).alias("tokens"))
 
 
-def common_tokens(wa: DataFrame, wb: DataFrame) -> DataFrame:
-    """(id_a, id_b, tokens): the sorted shared tokens of every pair sharing one."""
-    j = _pairs_on_token(wa, wb)
-    return j.groupBy("id_a", "id_b").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+def _shared(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """The tokens that the records of each pair share, with other columns of both sides."""
+    a = a.withColumnRenamed("rec_id", "id_a")
+    b = b.withColumnRenamed("rec_id", "id_b")
+    return pairs.select("id_a", "id_b").join(a, "id_a").join(b, ["id_b", "token"])
 
 
-def normalized(weights: DataFrame, nrm: DataFrame | None = None) -> DataFrame:
-    """(rec_id, token, u = w / norm): unit-length weight vectors."""
-    nrm = nrm if nrm is not None else norms(weights)
-    return weights.join(nrm.select("rec_id", "norm"), "rec_id") \
-                  .select("rec_id", "token", (F.col("w") / F.col("norm")).alias("u"))
-
-
-# A token with more weight rows than this on the larger side is
-# "hot" and its join work is split over SALT_BUCKETS tasks.
-HOT_TOKEN_ROWS = 1_000_000
-SALT_BUCKETS = 16
-
+def normalized(weights: DataFrame) -> DataFrame:
+    """(record key, token, u = w / norm): unit-length weight vectors."""
+    keys = _keys(weights)
+    return weights.join(norms(weights), keys).select(*keys, "token", (F.col("w") / F.col("norm")).alias("u"))
 
-def hot_tokens(idf_df: DataFrame, hot_rows: int = HOT_TOKEN_ROWS) -> DataFrame:
-    """Tokens whose document frequency (= weight rows over both catalogues)
-    exceeds ``hot_rows``, read off the IDF table that already exists."""
-    return idf_df.where(F.col("df") > hot_rows).select("token", F.lit(True).alias("_hot"))
 
+def prefixes(unit: DataFrame, idf_df: DataFrame, least: float = LEAST_SIM) -> DataFrame:
+    """(rec_id, token) of the rarest tokens of each record, without the commonest
+    ones whose weights together are shorter than ``least``."""
+    commonest = Window.partitionBy("rec_id").orderBy(F.desc("df"), "token")
+    rest = F.sqrt(F.sum(F.col("u") * F.col("u")).over(commonest))
+    ranked = unit.join(idf_df.select("token", "df"), "token").withColumn("_rest", rest)
+    return ranked.where(F.col("_rest") >= least * (1 - 1e-9)).select("rec_id", "token")
 
-def salted_token_join(a: DataFrame, b: DataFrame, hot_rows: int = HOT_TOKEN_ROWS,
-                      buckets: int = SALT_BUCKETS, hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join on ``token`` that splits hot tokens.
 
-    For a token with more than ``hot_rows`` rows in ``b``, the ``b`` rows are
-    spread over ``buckets`` salts and the ``a`` rows are copied to every salt,
-    so each (a, b) pair still meets exactly once but the work of one token is
-    shared by ``buckets`` tasks.  Other tokens use salt 0 only.  The hot-token
-    set has at most |b| / hot_rows entries and is broadcast only behind the
-    size check."""
-    if hot is None:
-        hot = (b.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > hot_rows).select("token", F.lit(True).alias("_hot")))
-    hot = broadcast_if_small(hot)
-    bh = b.join(hot, "token", "left")
-    bh = bh.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in b.columns if c != "token"]),
-                                                              F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
-    ah = a.join(hot, "token", "left")
-    ah = ah.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-    return ah.drop("_hot").join(bh.drop("_hot"), ["token", "_salt"]).drop("_salt")
+def similar_pairs(ua: DataFrame, ub: DataFrame, idf_df: DataFrame, least: float = LEAST_SIM) -> DataFrame:
+    """(id_a, id_b, sim) for every pair of unit vectors with sim >= ``least``.
 
+    If no token is in both prefixes, every shared token lies in what one of the
+    prefixes leaves out, so the product is below ``least``.  Frequent tokens fall
+    out of the prefixes by their weight; pairs found are summed over all tokens."""
+    pa = prefixes(ua, idf_df, least).withColumnRenamed("rec_id", "id_a")
+    pb = prefixes(ub, idf_df, least).withColumnRenamed("rec_id", "id_b")
+    found = pa.join(pb, "token").select("id_a", "id_b").distinct()
+    return _sims(found, ua, ub).where(F.col("sim") >= least)
 
-def cosine_inverted(wa: DataFrame, wb: DataFrame, na: DataFrame | None = None,
-                    nb: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
-    """(id_a, id_b, sim) for every pair sharing a token.
 
-    Weights are first scaled to unit length (one join per weight table, which
-    is far smaller than the pair table), then the token join emits
-    ``u_a * u_b`` and the products are summed per pair — partial sums are
-    combined map-side before the shuffle.  Hot tokens are salted
-    (``salted_token_join``) and AQE's skew-join splitting covers the rest.
-    Norms are positive for any record with a token."""
-    a = normalized(wa, na).select(F.col("rec_id").alias("id_a"), "token", F.col("u").alias("u_a"))
-    b = normalized(wb, nb).select(F.col("rec_id").alias("id_b"), "token", F.col("u").alias("u_b"))
-    return (salted_token_join(a, b, hot=hot).groupBy("id_a", "id_b")
-             .agg(F.sum(F.col("u_a") * F.col("u_b")).alias("sim")))
+def _sims(pairs: DataFrame, ua: DataFrame, ub: DataFrame) -> DataFrame:
+    a = ua.withColumnRenamed("u", "u_a")
+    b = ub.withColumnRenamed("u", "u_b")
+    return _shared(pairs, a, b).groupBy("id_a", "id_b").agg(F.sum(F.col("u_a") * F.col("u_b")).alias("sim"))
 
 
-def cosine_of_pairs(pairs: DataFrame, wa: DataFrame, wb: DataFrame) -> DataFrame:
+def cosine_of_pairs(pairs: DataFrame, ua: DataFrame, ub: DataFrame) -> DataFrame:
     """Cosine of given (id_a, id_b) pairs (0 when they share no token)."""
-    sims = cosine_inverted(wa.join(pairs.select(F.col("id_a").alias("rec_id")).distinct(), "rec_id"),
-                           wb.join(pairs.select(F.col("id_b").alias("rec_id")).distinct(), "rec_id"),
-                           norms(wa), norms(wb))
-    return (pairs.join(sims, ["id_a", "id_b"], "left")
+    return (pairs.join(_sims(pairs, ua, ub), ["id_a", "id_b"], "left")
                  .select("id_a", "id_b", F.coalesce("sim", F.lit(0.0)).alias("sim")))
 
 
-def gold_eval(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """True pairs found; mean similarity of true pairs and of all other pairs
-    (one labelled pass, conditional aggregates)."""
-    lab = sims.join(gold.withColumn("_gold", F.lit(True)), ["id_a", "id_b"], "left")
-    g = F.col("_gold").isNotNull()
-    return lab.agg(F.count(F.when(g, 1)).alias("true_pairs"),
-                   F.avg(F.when(g, F.col("sim"))).alias("avg_sim_true"),
-                   F.count(F.when(~g, 1)).alias("other_pairs"),
-                   F.avg(F.when(~g, F.col("sim"))).alias("avg_sim_other"))
+def similarity_total(ua: DataFrame, ub: DataFrame) -> DataFrame:
+    """(total): the sum of the similarities of all pairs, token by token."""
+    a = ua.groupBy("token").agg(F.sum("u").alias("s_a"))
+    b = ub.groupBy("token").agg(F.sum("u").alias("s_b"))
+    return a.join(b, "token").agg(F.coalesce(F.sum(F.col("s_a") * F.col("s_b")), F.lit(0.0)).alias("total"))
 
 
-def true_dup_sims(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """Similarity of each gold pair, 0 when it shares no token."""
-    return (gold.join(sims, ["id_a", "id_b"], "left")
-                .select("id_a", "id_b", F.coalesce("sim", F.lit(0.0)).alias("sim")))
+def gold_eval(gold_sims: DataFrame, total: float, n_pairs: int) -> DataFrame:
+    """Number and mean similarity of the gold pairs and of all ``n_pairs`` others."""
+    g = gold_sims.agg(F.count(F.lit(1)).alias("true_pairs"), F.avg("sim").alias("avg_sim_true"),
+                      F.coalesce(F.sum("sim"), F.lit(0.0)).alias("_s"))
+    others = F.lit(n_pairs) - F.col("true_pairs")
+    return g.select("true_pairs", "avg_sim_true", others.cast("long").alias("other_pairs"),
+                    ((F.lit(total) - F.col("_s")) / others).alias("avg_sim_other"))
 
 
 def _first_threshold_above(sim):
@@ -189,26 +161,23 @@ def _first_threshold_above(sim):
              .otherwise(b + 2))
 
 
-def threshold_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
+def threshold_counts(sims: DataFrame, gold_sims: DataFrame, n_pairs: int) -> DataFrame:
     """(threshold_bin n, threshold n/100, tp, fp, fn) for n = 0..99.
 
-    fp(n): non-gold candidate pairs whose bin int(sim*100) >= n (suffix sum);
-    fn(n): gold pairs with sim < n/100 (prefix sum); tp = gold - fn.
-    Candidates and gold pairs are labelled by one full outer join and reduced
-    by one aggregation to at most 2 x 103 bin rows; the running sums then run
-    over that fixed-size table."""
+    fp(n): pairs that are not gold whose bin int(sim*100) >= n (suffix sum; for
+    n = 0 all of them, ``n_pairs`` less the gold ones, and for n > 0 those of
+    ``sims``, the pairs of at least one step); fn(n): gold pairs with sim < n/100
+    (prefix sum); tp = gold - fn.  The running sums run over a table of 103 bins."""
     spark = sims.sparkSession
-    labelled = (sims.join(gold.withColumn("_gold", F.lit(True)), ["id_a", "id_b"], "full_outer")
-                    .select(F.coalesce("sim", F.lit(0.0)).alias("sim"),
-                            F.coalesce("_gold", F.lit(False)).alias("is_gold")))
-    key = F.when(F.col("is_gold"), _first_threshold_above(F.col("sim"))) \
-           .otherwise((F.col("sim") * N_THRESHOLDS).cast("int"))
-    bins = labelled.groupBy("is_gold", key.alias("n")).agg(F.count(F.lit(1)).alias("c"))
-    per_n = bins.groupBy("n").agg(
-        F.sum(F.when(~F.col("is_gold"), F.col("c")).otherwise(0)).alias("fp_bin"),
-        F.sum(F.when(F.col("is_gold"), F.col("c")).otherwise(0)).alias("fn_bin"))
-    spine = spark.range(0, N_THRESHOLDS + 3).select(F.col("id").cast("int").alias("n"))
-    t = spine.join(per_n, "n", "full_outer").na.fill({"fp_bin": 0, "fn_bin": 0})
+    others = sims.join(gold_sims.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
+    fp = others.groupBy((F.col("sim") * N_THRESHOLDS).cast("int").alias("n")).agg(
+        F.count(F.lit(1)).alias("fp_bin"), F.lit(0).cast("long").alias("fn_bin"))
+    fn = gold_sims.groupBy(_first_threshold_above(F.col("sim")).alias("n")).agg(
+        F.lit(0).cast("long").alias("fp_bin"), F.count(F.lit(1)).alias("fn_bin"))
+    spine = spark.range(0, N_THRESHOLDS + 3).select(
+        F.col("id").cast("int").alias("n"), F.lit(0).cast("long").alias("fp_bin"), F.lit(0).cast("long").alias("fn_bin"))
+    t = spine.unionByName(fp).unionByName(fn).groupBy("n").agg(F.sum("fp_bin").alias("fp_bin"),
+                                                               F.sum("fn_bin").alias("fn_bin"))
     suffix = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefix = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy(F.lit(0))
@@ -216,10 +185,11 @@ def threshold_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
           .withColumn("fn", F.sum("fn_bin").over(prefix))
           .withColumn("n_gold", F.sum("fn_bin").over(everything)))
     t = t.where((F.col("n") >= 0) & (F.col("n") < N_THRESHOLDS))
+    fp_all = F.when(F.col("n") == 0, F.lit(n_pairs) - F.col("n_gold")).otherwise(F.col("fp"))
     return t.select(F.col("n").alias("threshold_bin"),
                     (F.col("n") / F.lit(float(N_THRESHOLDS))).alias("threshold"),
                     (F.col("n_gold") - F.col("fn")).cast("long").alias("tp"),
-                    F.col("fp").cast("long").alias("fp"),
+                    fp_all.cast("long").alias("fp"),
                     F.col("fn").cast("long").alias("fn"))
 
 

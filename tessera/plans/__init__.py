@@ -1,10 +1,9 @@
 """Plan-shaping helpers: size-checked broadcast, lineage cuts, distributed
 row numbering and running sums, and plan inspection for tests."""
-from .joins import broadcast_if_small, estimated_bytes
+from .joins import broadcast_if_small, broadcast_pinned, estimated_bytes
 from .lineage import cut_lineage
 from .indexing import dense_index, running_sums
-from .partitioning import spread
 from .inspect import physical_plan, assert_no_cartesian, assert_no_python_udf
 
 __all__ = ["broadcast_if_small", "estimated_bytes", "cut_lineage", "dense_index",
-           "running_sums", "spread", "physical_plan", "assert_no_cartesian", "assert_no_python_udf"]
+           "running_sums", "broadcast_pinned", "physical_plan", "assert_no_cartesian", "assert_no_python_udf"]

@@ -1,13 +1,16 @@
 """Broadcast only behind a size check.
 
-The optimizer's size estimate of the optimized logical plan is an upper-bound
-style estimate for scans/filters/projections.  When it is under the bound we
-hint a broadcast; otherwise the side is left to the planner (sort-merge or
-shuffled-hash join, with AQE free to switch at runtime from real statistics).
+``broadcast_if_small`` goes by the optimizer's estimate, which is an upper bound
+only while rows are scanned, filtered and projected: below a generator, a join
+or an aggregate it says little, and no hint is given there (AQE may still
+switch at run time from real sizes).  ``broadcast_pinned`` is for a table that was
+written already: it counts the rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -21,5 +24,19 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Return ``broadcast(df)`` when its estimated size is <= ``max_bytes``."""
+    """``broadcast(df)`` if its estimate holds and is at most ``max_bytes``."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"\b(Generate|Join|Aggregate|Window|Expand|Union)\b", plan):
+        return df
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def broadcast_pinned(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if what is written measures at most ``max_bytes``: 16 bytes a
+    value and the lengths of strings."""
+    width = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

@@ -4,7 +4,7 @@ Spark itself (so their size grows with the tables):
 * web log       — CLF text lines rendered from ``events``
 * plays         — lines of ``documents.text``
 * catalogues    — ``benchmark`` (A) and ``documents`` (B) for record linkage
-* gold pairs    — (item, doc) where the doc contains the item's first 40 chars
+* gold pairs    — (item, doc) where the doc contains the item's text
 * ratings/items — ``orders`` x ``lineitem`` and ``part`` titles
 * power / songs — ``lineitem`` numeric columns
 * ad clicks     — ``lineitem`` x ``part`` x ``supplier`` categorical features
@@ -16,13 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
 from ..functions.weblog import clf_line
-from ..plans import broadcast_if_small, spread
+from ..plans import broadcast_if_small, broadcast_pinned, cut_lineage
 from .tables import table
 
-# The status code and request method each event type stands for
-# in the rendered web log, and the gold-standard prefix length.
+# The status code each event type stands for in the rendered web log.
 STATUS_BY_EVENT = {"view": 200, "click": 200, "signup": 302, "purchase": 304, "error": 404}
-GOLD_PREFIX_CHARS = 40
 
 
 # ---------------------------------------------------------------- web log
@@ -39,7 +37,7 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     host ``u<user_id>.example.com``; path ``/<event_type>/<k>``; status by
     event type; size ``floor(value)``, ``-`` for errors."""
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     k = F.regexp_extract("props", r"(\d+)", 1)
     status = status_expr("event_type")
     size = F.when(F.col("event_type") == "error", F.lit("-")) \
@@ -52,7 +50,7 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- plays
 def play_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.explode_outer(T.lines("text")).alias("value")).where(F.col("value").isNotNull())
 
 
@@ -62,7 +60,7 @@ def catalogue_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rec_id"), "text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rec_id"), "text")
 
 
 def _sampled_grams(text_col, k: int, stride: int):
@@ -105,20 +103,18 @@ def containment_pairs(patterns: DataFrame, docs: DataFrame, k: int = 16) -> Data
         stride = lo - kk + 1
         tier = patterns.where(F.length("pat").between(lo, hi))
         pg = tier.select("pat_id", F.explode(_pattern_grams(F.col("pat"), kk, stride)).alias("gram"))
-        dg = docs.select("doc_id", F.explode_outer(_sampled_grams(F.col("text"), kk, stride)).alias("gram")) \
-                 .where(F.col("gram").isNotNull())
-        c = pg.distinct().join(dg.distinct(), "gram").select("pat_id", "doc_id").distinct()
+        dg = docs.select("doc_id", F.explode_outer(_sampled_grams(F.col("text"), kk, stride)).alias("gram"))
+        c = dg.join(broadcast_pinned(cut_lineage(pg.distinct())), "gram").select("pat_id", "doc_id").distinct()
         cands = c if cands is None else cands.unionByName(c)
-    return (cands.join(patterns, "pat_id").join(docs, "doc_id")
-                 .where(F.instr("text", F.col("pat")) > 0)
-                 .select("pat_id", "doc_id"))
+    # few documents are candidates: their texts need no shuffle then
+    cands = broadcast_pinned(cut_lineage(cands.distinct().join(patterns, "pat_id")))
+    return docs.join(cands, "doc_id").where(F.instr("text", F.col("pat")) > 0).select("pat_id", "doc_id")
 
 
 def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, doc_id): the document contains the item's first 40 characters."""
-    pats = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("pat_id"), F.substring("text", 1, GOLD_PREFIX_CHARS).alias("pat"))
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """(item_id, doc_id): the document contains the item's text."""
+    pats = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pat_id"), F.col("text").alias("pat"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return containment_pairs(pats, docs).withColumnRenamed("pat_id", "item_id")
 
 
@@ -158,7 +154,6 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                   "l_suppkey", "l_returnflag", "l_linestatus") \
         .withColumn("rid", F.monotonically_increasing_id())
-    li = spread(li)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(broadcast_if_small(p), li.l_partkey == p.p_partkey) \

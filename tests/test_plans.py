@@ -29,7 +29,7 @@ def test_hot_paths_have_no_cartesian_and_no_python(spark):
 
 def test_gold_pairs_equal_brute_force(spark):
     got = {tuple(r) for r in S.gold_pairs(spark, SF_SMALL).collect()}
-    items = [(r.item_id, r.text[:40]) for r in S.catalogue_a(spark, SF_SMALL)
+    items = [(r.item_id, r.text) for r in S.catalogue_a(spark, SF_SMALL)
              .withColumnRenamed("rec_id", "item_id").collect()]
     docs = [(r.rec_id, r.text) for r in S.catalogue_b(spark, SF_SMALL).collect()]
     want = {(i, d) for i, p in items if p for d, t in docs if p in t}
@@ -84,12 +84,46 @@ def test_no_cartesian_anywhere_and_python_only_where_meant(spark):
             assert_no_python_udf(df)
 
 
-def test_salted_token_join_is_exact(spark):
-    from tessera.operators.linkage import salted_token_join
-    a = spark.createDataFrame([(1, "hot", 1.0), (2, "hot", 2.0), (3, "cold", 3.0)], "id_a long, token string, u_a double")
-    b = spark.createDataFrame([(10 + i, "hot", 1.0) for i in range(50)] + [(99, "cold", 1.0)],
-                              "id_b long, token string, u_b double")
-    got = sorted(tuple(r) for r in salted_token_join(a, b, hot_rows=5, buckets=4)
-                 .select("id_a", "id_b", "token").collect())
-    want = sorted(tuple(r) for r in a.join(b, "token").select("id_a", "id_b", "token").collect())
-    assert got == want and len(got) == 101
+def _links(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    words = [f"w{k}" for k in range(60)]
+    a = [(i, list(rng.choice(words, 8, p=np.r_[[0.3], np.full(59, 0.7 / 59)]))) for i in range(40)]
+    b = [(100 + i, a[i][1][:6] + ["new"] if i % 4 == 0 else list(rng.choice(words, 9))) for i in range(60) if i < 40 or i % 4]
+    return (spark.createDataFrame(a, "rec_id long, tokens array<string>"),
+            spark.createDataFrame(b, "rec_id long, tokens array<string>"))
+
+
+def test_similar_pairs_equal_all_pairs(spark):
+    from tessera.operators import linkage as LK
+
+    ra, rb = _links(spark)
+    tf = LK.tf(LK.corpus_union(ra, rb))
+    w = LK.tfidf(tf, LK.idf_from_tf(tf, ra.count() + rb.count()))
+    u = LK.normalized(w)
+    ua, ub = (u.where(F.col("source") == s).drop("source") for s in "AB")
+    df = u.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    vec = {}
+    for r in u.collect():
+        vec.setdefault((r.source, r.rec_id), {})[r.token] = r.u
+    sims = {(x, y): sum(v * vb[t] for t, v in va.items() if t in vb)
+            for (s, x), va in vec.items() if s == "A" for (t_, y), vb in vec.items() if t_ == "B"}
+    for least in (0.01, 0.2, 0.6):
+        got = {(r.id_a, r.id_b): r.sim for r in LK.similar_pairs(ua, ub, df, least).collect()}
+        want = {k: v for k, v in sims.items() if v >= least}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    assert abs(LK.similarity_total(ua, ub).first()["total"] - sum(sims.values())) < 1e-9
+
+
+def test_frequent_tokens_leave_the_prefixes(spark):
+    from tessera.catalog.analyses import _Link
+    from tessera.operators import linkage as LK
+
+    link = _Link(spark, SF_SMALL)
+    unit, df = link.units
+    whole = unit.where(F.col("source") == "B").count()
+    assert LK.prefixes(link.ub, df, 0.3).count() < whole
+    top = df.orderBy(F.desc("df")).first()["token"]
+    assert LK.prefixes(link.ub, df, 0.3).where(F.col("token") == top).count() < unit.where(
+        (F.col("source") == "B") & (F.col("token") == top)).count()
