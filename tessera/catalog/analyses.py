@@ -3,6 +3,7 @@ ratings / ALS, regression pipelines, first-principles linear regression,
 click-through-rate prediction and PCA / time-series folds."""
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.ml.functions import vector_to_array
@@ -74,8 +75,8 @@ def log_clean(spark, sf):
 
 
 @register("log_bad_rows", LOGS_CTE + """
-SELECT l.host || ' - - [' || strftime(l.time, '%d/%b/%Y:%H:%M:%S') || ' -0000] "GET ' || l.path || ' HTTP/1.0" '
-       || CAST(l.status AS VARCHAR) || ' -*' AS line FROM logs l WHERE l.status = 404""")
+SELECT host || ' - - [' || strftime(time, '%d/%b/%Y:%H:%M:%S') || ' -0000] "' || request_text || '" '
+       || status_text || ' ' || size_text || '*' AS line FROM logs WHERE NOT size_ok""")
 def log_bad_rows(spark, sf):
     return WL.bad_size_lines(S.weblog_lines(spark, sf))
 
@@ -419,7 +420,9 @@ TOP_ITEMS_MIN_RATINGS = 25
 
 
 def _ratings_split(spark, sf):
-    r = S.ratings(spark, sf).withColumn("key", F.col("user_id") * 1000003 + F.col("item_id"))
+    # (user_id * 1000003 + item_id) mod 100, without its overflow
+    key = F.pmod("user_id", F.lit(100)) * 3 + F.pmod("item_id", F.lit(100))
+    r = cut_lineage(S.ratings(spark, sf).withColumn("key", key))
     tr, va, te = R.split_by_key(r, "key", [0.6, 0.2, 0.2])
     return tr.drop("key"), va.drop("key"), te.drop("key")
 
@@ -480,17 +483,18 @@ def als_train_select_rank(spark, sf):
 @register("als_evaluate")
 def als_evaluate(spark, sf):
     tr, va, te = _ratings_split(spark, sf)
-    rows, model = RT.train_select_rank(tr, va, ranks=(8,))
-    return spark.createDataFrame([(rows[0][0], float(RT.rmse(model.transform(te))))],
+    _, model = RT.train_select_rank(tr, va)
+    return spark.createDataFrame([(model.rank, float(RT.rmse(model.transform(te))))],
                                  "rank int, test_rmse double")
 
 
 @register("als_recommend")
 def als_recommend(spark, sf):
     r = S.ratings(spark, sf)
+    tr, va, _ = _ratings_split(spark, sf)
+    _, best = RT.train_select_rank(tr, va)
     u = RT.new_user_ratings(r, user_id=-1)
-    train = RT.add_user(r, u)
-    model = RT.als(8).fit(train)
+    model = RT.als(best.rank).fit(RT.add_user(tr, u))
     stats = RT.item_stats(r, S.items(spark, sf))
     return RT.recommend(model, RT.unrated_items(S.items(spark, sf), u, -1), stats,
                         min_ratings=TOP_ITEMS_MIN_RATINGS, k=25)
@@ -790,12 +794,47 @@ def ctr_feature_frequency(spark, sf):
     return CT.feature_frequency(S.ad_clicks(spark, sf))
 
 
+@register("udf_vector", _CTR_SPLIT + """
+SELECT label, (SELECT count(*) FROM dict) AS size, array_to_string(list_sort(list(ohe_index)), ',') AS indices
+FROM train JOIN dict USING (feature_id, category) GROUP BY rid, label""")
+def udf_vector(spark, sf):
+    tr, _, _ = _ctr_split(spark, sf)
+    d = CT.ohe_dictionary(tr)
+    v = CT.ohe_encode(tr, d).withColumn("v", CT.to_vector("indices", F.lit(d.count())))
+    # read back on the JVM: the vector's own parts
+    dense = vector_to_array("v")
+    places = F.filter(F.sequence(F.lit(0), F.size(dense) - 1), lambda i: F.element_at(dense, i + 1) != 0)
+    return v.select("label", F.size(dense).cast("long").alias("size"), F.array_join(places, ",").alias("indices"))
+
+
+@register("udf_array_int", _CTR_SPLIT + """
+SELECT label, array_to_string(list_sort(list(ohe_index)), ',') AS indices
+FROM train JOIN dict USING (feature_id, category) GROUP BY rid, label""")
+def udf_array_int(spark, sf):
+    tr, _, _ = _ctr_split(spark, sf)
+    d = CT.ohe_dictionary(tr)
+    v = CT.sparse_vectors(CT.ohe_encode(tr, d), d.count())
+    return v.select("label", F.array_join(CT.nonzero("features"), ",").alias("indices"))
+
+
+def _ohe_model(tr):
+    """(model, encoder): logistic regression on the library's own one-hot indices."""
+    d = CT.ohe_dictionary(tr)
+    n = d.count()
+    encode = lambda part: CT.sparse_vectors(CT.ohe_encode(part, d), n)
+    return CT.logreg().fit(encode(tr)), encode
+
+
+def _hashed_model(tr):
+    encode = lambda part: CT.sparse_vectors(CT.hashed_indices(part, NUM_BUCKETS), NUM_BUCKETS)
+    return CT.logreg(reg=0.001, elastic=0.7).fit(encode(tr)), encode
+
+
 @register("ctr_logreg")
 def ctr_logreg(spark, sf):
     tr, va, _ = _ctr_split(spark, sf)
-    pipe = CT.ohe_pipeline().fit(CT.flat(tr))
-    model = CT.logreg().fit(pipe.transform(CT.flat(tr)))
-    scored = CT.model_probability(model, pipe.transform(CT.flat(va)))
+    model, encode = _ohe_model(tr)
+    scored = CT.model_probability(model, encode(va))
     return CT.mean_log_loss(scored).withColumn("n_coefficients", F.lit(model.numFeatures))
 
 
@@ -813,9 +852,8 @@ scored AS (
 
 def _ctr_scored(spark, sf):
     tr, va, te = _ctr_split(spark, sf)
-    rate = tr.agg(F.avg("label")).first()[0]
-    import math
-    return CT.score_with_weights(va.unionByName(te), CT.rate_weights(tr), math.log(rate / (1 - rate))), tr
+    weights, rate = CT.rate_weights(tr)
+    return CT.score_with_weights(va.unionByName(te), weights, math.log(rate / (1 - rate))), tr
 
 
 @register("ctr_probability", _WEIGHTS_CTE + """
@@ -845,13 +883,18 @@ def ctr_baseline_log_loss(spark, sf):
 
 @register("ctr_evaluate")
 def ctr_evaluate(spark, sf):
-    tr, va, _ = _ctr_split(spark, sf)
-    flat_tr = CT.flat(tr)
-    pipe = CT.ohe_pipeline().fit(flat_tr)
-    model = CT.logreg().fit(pipe.transform(flat_tr))
-    m = CT.mean_log_loss(CT.model_probability(model, pipe.transform(CT.flat(va)))).withColumn("model", F.lit("ohe"))
-    b = CT.baseline_log_loss(tr, va).select("log_loss").withColumn("model", F.lit("baseline"))
-    return m.unionByName(b)
+    """One-hot, hashed and base-rate models on the validation and the test part."""
+    tr, va, te = _ctr_split(spark, sf)
+    out = None
+    for name, (model, encode) in (("ohe", _ohe_model(tr)), ("hashed", _hashed_model(tr))):
+        for part, rows in (("val", va), ("test", te)):
+            m = CT.mean_log_loss(CT.model_probability(model, encode(rows))).select(
+                "log_loss", F.lit(name).alias("model"), F.lit(part).alias("part"))
+            out = m if out is None else out.unionByName(m)
+    for part, rows in (("val", va), ("test", te)):
+        out = out.unionByName(CT.baseline_log_loss(tr, rows).select(
+            "log_loss", F.lit("baseline").alias("model"), F.lit(part).alias("part")))
+    return out
 
 
 @register("ctr_roc", _WEIGHTS_CTE + """
@@ -899,9 +942,8 @@ def ctr_sparsity(spark, sf):
 @register("ctr_logreg_hashed")
 def ctr_logreg_hashed(spark, sf):
     tr, va, _ = _ctr_split(spark, sf)
-    pipe = CT.hashed_pipeline(NUM_BUCKETS).fit(CT.flat(tr))
-    model = CT.logreg(reg=0.001, elastic=0.7).fit(pipe.transform(CT.flat(tr)))
-    return CT.mean_log_loss(CT.model_probability(model, pipe.transform(CT.flat(va))))
+    model, encode = _hashed_model(tr)
+    return CT.mean_log_loss(CT.model_probability(model, encode(va)))
 
 
 # =========================================================== PCA and series

@@ -3,6 +3,7 @@ functions, UDFs and the catalog — each applied to the driver tables."""
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Row, Window, functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType, StructField,
                                StructType)
@@ -177,7 +178,7 @@ def src_regex_quarantine(spark, sf):
 
 @register("parse_clf", LOGS_CTE + r"""
 SELECT host, strftime(time, '%d/%b/%Y:%H:%M:%S') || ' -0000' AS timestamp, path, status,
-       CASE WHEN status = 404 THEN NULL ELSE content_size END AS content_size FROM logs""")
+       CASE WHEN size_ok THEN content_size END AS content_size FROM logs""")
 def parse_clf(spark, sf):
     return WL.parse(S.weblog_lines(spark, sf))
 
@@ -334,14 +335,14 @@ def proj_cast(spark, sf):
 @register("sql_select_alias", """
 SELECT n_nationkey AS nation_key, n_name AS nation, n_regionkey AS region FROM nation""")
 def sql_select_alias(spark, sf):
-    _t(spark, sf, "nation").createOrReplaceTempView("nation")
-    return spark.sql("SELECT n_nationkey AS nation_key, n_name AS nation, n_regionkey AS region FROM nation")
+    return spark.sql("SELECT n_nationkey AS nation_key, n_name AS nation, n_regionkey AS region FROM {nation}",
+                     nation=_t(spark, sf, "nation"))
 
 
 @register("sql_select_star", "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10")
 def sql_select_star(spark, sf):
-    _t(spark, sf, "customer").createOrReplaceTempView("customer")
-    return spark.sql("SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10")
+    return spark.sql("SELECT * FROM {customer} ORDER BY c_acctbal DESC, c_custkey LIMIT 10",
+                     customer=_t(spark, sf, "customer"))
 
 
 # =========================================================== 2.3 filters
@@ -370,7 +371,8 @@ def filt_and(spark, sf):
 
 
 @register("filt_or_isnull", LOGS_CTE + """
-SELECT host, path, status, NULL::INTEGER AS content_size FROM logs WHERE status = 404""")
+SELECT host, path, status, CASE WHEN size_ok THEN content_size END AS content_size
+FROM logs WHERE NOT size_ok OR status IS NULL""")
 def filt_or_isnull(spark, sf):
     p = WL.parse(S.weblog_lines(spark, sf))
     cols = ["host", "path", "status", "content_size"]
@@ -414,11 +416,15 @@ def _is_even(s: pd.Series) -> pd.Series:
     return s % 2 == 0
 
 
+@F.pandas_udf(BooleanType())
+def _below_100(s: pd.Series) -> pd.Series:
+    return s < 100
+
+
 @register("filt_udf", "SELECT event_id, user_id FROM events WHERE user_id % 2 = 0 AND user_id < 100")
 def filt_udf(spark, sf):
     e = _t(spark, sf, "events")
-    below = F.udf(lambda x: x is not None and x < 100, BooleanType())
-    return e.where(_is_even("user_id") & below("user_id")).select("event_id", "user_id")
+    return e.where(_is_even("user_id") & _below_100("user_id")).select("event_id", "user_id")
 
 
 @register("filt_key_lookup", """
@@ -561,8 +567,8 @@ def agg_two_level_mean(spark, sf):
 
 
 @register("agg_null_counts", LOGS_CTE + """
-SELECT 0::BIGINT AS host, 0::BIGINT AS timestamp, 0::BIGINT AS path, 0::BIGINT AS status,
-       count(*) FILTER (WHERE status = 404) AS content_size FROM logs""")
+SELECT 0::BIGINT AS host, 0::BIGINT AS timestamp, 0::BIGINT AS path,
+       count(*) FILTER (WHERE status IS NULL) AS status, count(*) FILTER (WHERE NOT size_ok) AS content_size FROM logs""")
 def agg_null_counts(spark, sf):
     return R.null_counts(WL.parse(S.weblog_lines(spark, sf)))
 
@@ -587,12 +593,11 @@ def agg_having(spark, sf):
 SELECT CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'medium' ELSE 'large' END AS size_class,
        count(*) AS n FROM lineitem GROUP BY 1""")
 def agg_group_expr(spark, sf):
-    _t(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
     return spark.sql("""
       SELECT CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'medium' ELSE 'large' END
              AS size_class, count(*) AS n
-      FROM lineitem GROUP BY CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'medium'
-                                  ELSE 'large' END""")
+      FROM {lineitem} GROUP BY CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'medium'
+                                    ELSE 'large' END""", lineitem=_t(spark, sf, "lineitem"))
 
 
 @register("agg_fraction", """
@@ -958,24 +963,28 @@ def _name_len(s: pd.Series) -> pd.Series:
     return s.str.len().astype("int64")
 
 
+@F.pandas_udf(StringType())
+def _upper(s: pd.Series) -> pd.Series:
+    return s.str.upper()
+
+
 @register("udf_scalar", "SELECT p_partkey, length(p_name)::BIGINT AS name_len, upper(p_name) AS upper_name FROM part")
 def udf_scalar(spark, sf):
-    upper = F.udf(lambda s: s.upper() if s is not None else None)  # default return type: string
     p = _t(spark, sf, "part")
-    return p.select("p_partkey", _name_len("p_name").alias("name_len"), upper("p_name").alias("upper_name"))
+    return p.select("p_partkey", _name_len("p_name").alias("name_len"), _upper("p_name").alias("upper_name"))
 
 
-def _indexed_words(s):
-    return [(i, w) for i, w in enumerate(s.split(" "))] if s is not None else None
+@F.arrow_udf(ArrayType(StructType([StructField("idx", LongType()), StructField("word", StringType())])))
+def _indexed_words(col: pa.Array) -> pa.Array:
+    rows = [None if s is None else [{"idx": i, "word": w} for i, w in enumerate(s.split(" "))] for s in col.to_pylist()]
+    return pa.array(rows, pa.list_(pa.struct([("idx", pa.int64()), ("word", pa.string())])))
 
 
 @register("udf_array_struct", """
 SELECT item_id, i - 1 AS idx, string_split(text, ' ')[i] AS word
 FROM benchmark, LATERAL (SELECT unnest(range(1, len(string_split(text, ' ')) + 1)) AS i)""")
 def udf_array_struct(spark, sf):
-    f = F.udf(_indexed_words, ArrayType(StructType([StructField("idx", LongType()),
-                                                    StructField("word", StringType())])))
-    b = _t(spark, sf, "benchmark").select("item_id", F.explode(f("text")).alias("w"))
+    b = _t(spark, sf, "benchmark").select("item_id", F.explode(_indexed_words("text")).alias("w"))
     return b.select("item_id", F.col("w.idx").alias("idx"), F.col("w.word").alias("word"))
 
 
@@ -1004,8 +1013,8 @@ def udtf_flatmap(spark, sf):
                     yield (p,)
 
     spark.udtf.register("tessera_pieces", Pieces)
-    _t(spark, sf, "benchmark").createOrReplaceTempView("benchmark")
-    return spark.sql("SELECT b.item_id, p.piece FROM benchmark b, LATERAL tessera_pieces(b.text) p")
+    return spark.sql("SELECT b.item_id, p.piece FROM {benchmark} b, LATERAL tessera_pieces(b.text) p",
+                     benchmark=_t(spark, sf, "benchmark"))
 
 
 @register("udaf_accumulator", """

@@ -1,15 +1,25 @@
 """Shared SQL fragments for the DuckDB twins."""
 
-# The web log rendered from events, computed straight from the table.
+# The web log rendered from events, computed straight from the table: what a
+# line says (the _text columns) and what is read from it.
 LOGS_CTE = r"""
-WITH logs AS (
+WITH raw AS (
+  SELECT *, '/' || event_type || '/' || regexp_extract(props, '(\d+)', 1) AS url,
+         CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 200 WHEN 'signup' THEN 302
+              WHEN 'purchase' THEN 304 WHEN 'error' THEN 404 ELSE 500 END AS code FROM events),
+logs AS (
   SELECT 'u' || CAST(user_id AS VARCHAR) || '.example.com' AS host,
-         '/' || event_type || '/' || regexp_extract(props, '(\d+)', 1) AS path,
-         CAST(CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 200 WHEN 'signup' THEN 302
-              WHEN 'purchase' THEN 304 WHEN 'error' THEN 404 ELSE 500 END AS INTEGER) AS status,
-         CAST(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) END AS INTEGER) AS content_size,
-         date_trunc('second', ts) AS time
-  FROM events)
+         CASE WHEN event_id % 101 = 0 THEN '' ELSE url END AS path,
+         CAST(CASE WHEN event_id % 107 = 0 THEN NULL ELSE code END AS INTEGER) AS status,
+         event_type <> 'error' AND event_id % 103 <> 0 AS size_ok,
+         CAST(CASE WHEN event_type = 'error' OR event_id % 103 = 0 THEN 0 ELSE floor(value) END AS INTEGER) AS content_size,
+         date_trunc('second', ts) AS time,
+         CASE WHEN event_id % 101 = 0 THEN 'GET HTTP/1.0' ELSE 'GET ' || url || ' HTTP/1.0' END AS request_text,
+         CASE WHEN event_id % 107 = 0 THEN substr(code::VARCHAR, 1, 1) || 'x' || substr(code::VARCHAR, 3, 1)
+              ELSE code::VARCHAR END AS status_text,
+         CASE WHEN event_id % 103 = 0 THEN 'x' ELSE '' END
+           || CASE WHEN event_type = 'error' THEN '-' ELSE CAST(floor(value)::BIGINT AS VARCHAR) END AS size_text
+  FROM raw)
 """
 
 # Linkage tokens: lower-cased \W+ split, empties and stop words removed.

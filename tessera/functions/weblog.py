@@ -3,12 +3,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Common Log Format field patterns and the timestamp layout.
-HOST_RE = r"^([^\s]+)\s"
-TIMESTAMP_RE = r"^.*\[(\d\d/\w{3}/\d{4}:\d{2}:\d{2}:\d{2}\s-\d{4})"
-PATH_RE = r"\"\w+\s*([^\s]+)\s+HTTP.*"
-STATUS_RE = r"^.*\".*\"\s+(\d+)"
-SIZE_RE = r"(\d+)$"
+# A line is: host, identity, user, [time], "request", status, size.  Each field
+# is read from its own place in that grammar; what does not fit its form is empty
+# (path, host, time) or null (status, size), the other fields stay.
+_HEAD = r"^(?:\S+ ){3}\[[^\]]*\] "
+_REQUEST = r"\"(?:[^\"]*)\" "
+HOST_RE = r"^(\S+) "
+TIMESTAMP_RE = r"^(?:\S+ ){3}\[(\d{2}/[A-Za-z]{3}/\d{4}(?::\d{2}){3} [-+]\d{4})\]"
+PATH_RE = _HEAD + r"\"[A-Za-z]+ +(\S+) +HTTP[^\" ]*\" "
+STATUS_RE = _HEAD + _REQUEST + r"(\d{3}) "
+SIZE_RE = _HEAD + _REQUEST + r"\S+ (\d+)$"
+# Fixed value: the timestamp layout.
 CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 
 
@@ -32,6 +37,7 @@ def clf_time(c) -> Column:
 
 
 def clf_line(host, ts, method, path, status, size) -> Column:
-    """Render one CLF line: ``host - - [dd/MMM/yyyy:HH:mm:ss -0000] "M path HTTP/1.0" status size``."""
+    """Render one CLF line: ``host - - [dd/MMM/yyyy:HH:mm:ss -0000] "M path HTTP/1.0" status size``;
+    ``path`` ends with a space, or is empty in a request without one."""
     return F.concat(host, F.lit(" - - ["), F.date_format(ts, CLF_TIME_FORMAT), F.lit(" -0000] \""),
-                    method, F.lit(" "), path, F.lit(" HTTP/1.0\" "), status, F.lit(" "), size)
+                    method, F.lit(" "), path, F.lit("HTTP/1.0\" "), status, F.lit(" "), size)

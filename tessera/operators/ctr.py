@@ -6,14 +6,15 @@ Records carry a unique ``rid``, ``label`` and
 """
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions.hashing import feature_key, md5_bucket
 from ..functions.ml import log_loss, sigmoid_clamped
-from ..plans import broadcast_if_small, dense_index, running_sums
+from ..plans import broadcast_pinned, cut_lineage, dense_index, running_sums
 
 KEYS = ("rid",)
 
@@ -30,14 +31,14 @@ def distinct_features(records: DataFrame) -> DataFrame:
 
 def ohe_dictionary(records: DataFrame) -> DataFrame:
     """(feature_id, category, ohe_index): dense ids in (feature_id, category) order,
-    numbered without a single-partition window."""
-    return dense_index(distinct_features(records), ["feature_id", "category"], "ohe_index")
+    numbered without a single-partition window, and written once for its users."""
+    return cut_lineage(dense_index(distinct_features(records), ["feature_id", "category"], "ohe_index"))
 
 
 def ohe_encode(records: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(keys, label, indices): sorted dictionary ids of each record's features.
     Categories missing from the dictionary are ignored; records keep a row (left join)."""
-    e = exploded(records).join(broadcast_if_small(dictionary), ["feature_id", "category"], "left")
+    e = exploded(records).join(broadcast_pinned(dictionary), ["feature_id", "category"], "left")
     return (e.groupBy(*KEYS, "label")
              .agg(F.array_sort(F.filter(F.collect_list("ohe_index"), lambda x: x.isNotNull()))
                   .alias("indices")))
@@ -55,17 +56,19 @@ def feature_frequency(records: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("n_features")))
 
 
-def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
-    """(rid, label, bucket, value): md5 bucket counts of each record.
-
-    Works inside each record's feature array (equal keys collapse first), so
-    it is a narrow, shuffle-free projection followed by an explode."""
+def hashed_indices(records: DataFrame, num_buckets: int) -> DataFrame:
+    """(rid, label, indices): the md5 bucket of each different feature of a record,
+    once a feature; computed inside the record's array, without a shuffle."""
     keys = F.array_distinct(F.transform("feats", lambda f: feature_key(f.getField("_1"), f.getField("_2"))))
-    buckets = F.transform(keys, lambda k: md5_bucket(k, num_buckets))
-    per = records.select(*KEYS, "label", buckets.alias("_b"))
-    counted = F.transform(F.array_distinct("_b"),
+    return records.select(*KEYS, "label", F.transform(keys, lambda k: md5_bucket(k, num_buckets)).alias("indices"))
+
+
+def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
+    """(rid, label, bucket, value): md5 bucket counts of each record."""
+    per = hashed_indices(records, num_buckets)
+    counted = F.transform(F.array_distinct("indices"),
                           lambda b: F.struct(b.alias("bucket"),
-                                             F.size(F.filter("_b", lambda x: x == b)).cast("double")
+                                             F.size(F.filter("indices", lambda x: x == b)).cast("double")
                                              .alias("value")))
     return per.select(*KEYS, "label", F.explode(counted).alias("e")) \
               .select(*KEYS, "label", F.col("e.bucket").alias("bucket"), F.col("e.value").alias("value"))
@@ -82,28 +85,27 @@ def sparsity(records: DataFrame, dictionary_size: int, num_buckets: int) -> Data
 
 
 # ------------------------------------------------------------------ models
-def flat(records: DataFrame, n_features: int = 5) -> DataFrame:
-    """One string column per categorical feature (c0..c{n-1}) for Spark ML stages."""
-    return records.select(*KEYS, "label", *[F.col("feats")[i].getField("_2").alias(f"c{i}")
-                                            for i in range(n_features)])
+def sparse_vectors(encoded: DataFrame, size: int) -> DataFrame:
+    """(keys, label, features): the indices of each record as a sparse vector of
+    ``size`` places, each as often as it occurs.  Made on the JVM by a count model
+    whose vocabulary is the numbers 0 to size - 1; categories never meet the driver."""
+    numbers = CountVectorizerModel.from_vocabulary([str(i) for i in range(max(1, size))], inputCol="_numbers",
+                                                   outputCol="features")
+    words = encoded.withColumn("_numbers", F.transform("indices", lambda i: i.cast("string")))
+    return numbers.transform(words).drop("_numbers")
 
 
-def ohe_pipeline(n_features: int = 5) -> Pipeline:
-    """StringIndexer(keep) + OneHotEncoder(dropLast): one slot per seen
-    (feature, category); unseen categories map to the dropped slot, i.e. are ignored."""
-    cols = [f"c{i}" for i in range(n_features)]
-    idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_i" for c in cols], handleInvalid="keep",
-                        stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCols=[f"{c}_i" for c in cols], outputCols=[f"{c}_v" for c in cols],
-                        dropLast=True, handleInvalid="keep")
-    va = VectorAssembler(inputCols=[f"{c}_v" for c in cols], outputCol="features")
-    return Pipeline(stages=[idx, ohe, va])
+@F.udf(VectorUDT())
+def to_vector(indices, size):
+    """User function: sorted indices -> sparse vector of ones."""
+    return Vectors.sparse(size, [int(i) for i in indices], [1.0] * len(indices))
 
 
-def hashed_pipeline(num_buckets: int, n_features: int = 5) -> Pipeline:
-    cols = [f"c{i}" for i in range(n_features)]
-    return Pipeline(stages=[FeatureHasher(inputCols=cols, outputCol="features",
-                                          numFeatures=num_buckets, categoricalCols=cols)])
+@F.udf(ArrayType(IntegerType()))
+def nonzero(vector):
+    """User function: vector -> places that are not zero."""
+    return [int(i) for i, v in zip(vector.indices, vector.values) if v] if hasattr(vector, "indices") else [
+        i for i, v in enumerate(vector.toArray()) if v]
 
 
 def logreg(max_iter: int = 20, reg: float = 0.01, elastic: float = 0.0) -> LogisticRegression:
@@ -134,29 +136,30 @@ def baseline_log_loss(train: DataFrame, evaluated: DataFrame) -> DataFrame:
                          F.lit(rate).alias("base_rate"))
 
 
-def rate_weights(train: DataFrame) -> DataFrame:
+def rate_weights(train: DataFrame) -> tuple[DataFrame, float]:
     """A fixed additive score per (feature, category): its positive rate minus
-    the base rate (a transparent stand-in for learned weights)."""
-    e = exploded(train)
-    rate = train.agg(F.avg("label")).first()[0]
-    return (e.groupBy("feature_id", "category")
-             .agg((F.avg("label") - F.lit(rate)).alias("weight")))
+    the base rate (a transparent stand-in for learned weights); and the base rate.
+    One pass over the records: every record counts once in each of its features."""
+    sums = cut_lineage(exploded(train).groupBy("feature_id", "category").agg(
+        F.sum("label").alias("s"), F.count(F.lit(1)).alias("n")))
+    rate = sums.agg(F.sum("s") / F.sum("n")).first()[0]
+    return sums.select("feature_id", "category", (F.col("s") / F.col("n") - F.lit(rate)).alias("weight")), rate
 
 
 def score_with_weights(records: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
     """p = sigmoid(intercept + sum of the weights of the record's features),
     computed as a join with the weight table (unknown categories weigh 0)."""
-    e = exploded(records).join(broadcast_if_small(weights), ["feature_id", "category"], "left")
+    e = exploded(records).join(broadcast_pinned(weights), ["feature_id", "category"], "left")
     raw = F.lit(intercept) + F.sum(F.coalesce("weight", F.lit(0.0)))
     return e.groupBy(*KEYS, "label").agg(sigmoid_clamped(raw).alias("p"))
 
 
 def roc(scored: DataFrame, p: str = "p", label: str = "label") -> DataFrame:
-    """(p, tpr, fpr) at each distinct score, highest first.  Rows are first
-    aggregated per distinct score, then running sums are taken over that
-    table with the partition-offset method (no single-partition window)."""
-    per = scored.groupBy(p).agg(F.sum(F.col(label)).alias("pos"),
-                                F.sum(F.lit(1.0) - F.col(label)).alias("neg"))
+    """(p, tpr, fpr) at each distinct score, highest first.  Rows are aggregated
+    per distinct score and written once; totals and running sums (partition
+    offsets, no single-partition window) come from that table."""
+    per = cut_lineage(scored.groupBy(p).agg(F.sum(F.col(label)).alias("pos"),
+                                            F.sum(F.lit(1.0) - F.col(label)).alias("neg")))
     totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     cum = running_sums(per, [F.desc(p)], ["pos", "neg"])
     return cum.select(p, (F.col("pos_cum") / F.lit(totals["P"])).alias("tpr"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.arrays import dot, fold_by_block, fold_by_phase, fractional_change, subtract
@@ -18,10 +19,40 @@ _GRAM_SCHEMA = "i int, j int, s double, n long"
 
 
 def column_means(df: DataFrame, col: str = "values") -> list[float]:
-    """Element-wise mean of the array column (d values)."""
-    per = (df.select(F.posexplode(col).alias("pos", "x"))
-             .groupBy("pos").agg(F.avg("x").alias("m")).orderBy("pos"))
-    return [r["m"] for r in per.collect()]
+    """Element-wise mean of the array column (d values).  Rows whose array is null
+    do not count; arrays of different lengths, or with a null inside, are an error."""
+    return _means_and_count(df, col)[0]
+
+
+def _means_and_count(df: DataFrame, col: str) -> tuple[list[float], int]:
+    """In one pass: sums by position and the row count, with the lengths seen."""
+    stats = df.where(F.col(col).isNotNull()).select(col).mapInArrow(_sums(col), "pos int, s double, n long")
+    rows = stats.groupBy("pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).orderBy("pos").collect()  # d rows
+    if any(r["n"] != rows[0]["n"] for r in rows):
+        raise ValueError(f"the arrays in {col} differ in length")
+    n = rows[0]["n"] if rows else 0
+    return [r["s"] / n for r in rows], n
+
+
+def _matrix(arr: pa.Array) -> np.ndarray:
+    lengths = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError(f"arrays of {lengths.min()} to {lengths.max()} values in one column")
+    flat = arr.flatten()
+    if flat.null_count:
+        raise ValueError(f"{flat.null_count} null values inside arrays")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(arr), int(lengths[0]))
+
+
+def _sums(col: str):
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b.column(col))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(x.shape[1]), pa.int32()), pa.array(x.sum(0)),
+                     pa.array(np.full(x.shape[1], len(x)), pa.int64())], names=["pos", "s", "n"])
+    return run
 
 
 def center(df: DataFrame, mean: list[float], col: str = "values") -> DataFrame:
@@ -31,16 +62,13 @@ def center(df: DataFrame, mean: list[float], col: str = "values") -> DataFrame:
 
 def _gram_batches(col: str):
     def run(batches):
-        g, n, d = None, 0, None
+        g, n = None, 0
         for b in batches:
-            arr = b.column(col)
-            if len(arr) == 0:
+            if not b.num_rows:
                 continue
-            flat = np.asarray(arr.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-            d = d or (len(flat) // len(arr))
-            x = flat.reshape(len(arr), d)
+            x = _matrix(b.column(col))
             g = x.T @ x if g is None else g + x.T @ x
-            n += len(arr)
+            n += len(x)
         if g is None:
             return
         ii, jj = np.indices(g.shape)
@@ -52,12 +80,11 @@ def _gram_batches(col: str):
 
 
 def covariance(centred: DataFrame, col: str = "values") -> DataFrame:
-    """(i, j, cov) with cov = sum((x - mu)_i (x - mu)_j) / n over centred rows."""
-    parts = centred.select(col).mapInArrow(_gram_batches(col), _GRAM_SCHEMA)
-    # each task reports its row count on every cell it emits; count once via cell (0, 0)
-    cells = parts.groupBy("i", "j").agg(F.sum("s").alias("s"))
-    n = parts.where((F.col("i") == 0) & (F.col("j") == 0)).agg(F.sum("n")).first()[0]
-    return cells.select("i", "j", (F.col("s") / F.lit(float(n))).alias("cov"))
+    """(i, j, cov) with cov = sum((x - mu)_i (x - mu)_j) / n over centred rows; null
+    rows do not count, ragged rows and nulls inside arrays are an error."""
+    parts = centred.where(F.col(col).isNotNull()).select(col).mapInArrow(_gram_batches(col), _GRAM_SCHEMA)
+    # each task reports its row count on every cell it emits
+    return parts.groupBy("i", "j").agg((F.sum("s") / F.sum("n")).alias("cov"))
 
 
 def eigen(cov: DataFrame):

@@ -5,8 +5,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans import broadcast_if_small
-
 
 def item_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, title, n_ratings, avg_rating)."""
@@ -47,9 +45,11 @@ def unrated_items(items: DataFrame, ratings: DataFrame, user_id: int) -> DataFra
                  .select(F.lit(user_id).cast("long").alias("user_id"), "item_id"))
 
 
-def als(rank: int, seed: int = 42, max_iter: int = 5, reg: float = 0.1) -> ALS:
-    return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
-               itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
+def als(rank: int, seed: int = 42, max_iter: int = 5, reg: float = 0.1, blocks: int = 10) -> ALS:
+    """``blocks``: how many parts the user and the item factors each are dealt to;
+    raise it with the cluster.  Ids must fit an int (``dense_index`` makes such ids)."""
+    return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id", numUserBlocks=blocks,
+               numItemBlocks=blocks, itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
 
 
 def rmse(pred: DataFrame) -> float:
@@ -78,7 +78,17 @@ def train_select_rank(train: DataFrame, val: DataFrame, ranks=(4, 8, 12), seed:
 
 def recommend(model, candidates: DataFrame, stats: DataFrame, min_ratings: int = 75,
               k: int = 25) -> DataFrame:
-    pred = model.transform(candidates).where(~F.isnan("prediction"))
-    j = pred.join(broadcast_if_small(stats), "item_id").where(F.col("n_ratings") > min_ratings)
+    """The ``k`` best of the candidates of one user among items with more than
+    ``min_ratings`` ratings: the user's factors enter as a literal, so candidates
+    join item factors on the item alone."""
+    user = candidates.first()
+    vector = model.userFactors.where(F.col("id") == user["user_id"]).first() if user else None
+    weights = F.array(*[F.lit(float(x)) for x in (vector["features"] if vector else [0.0] * model.rank)])
+    product = F.zip_with(F.transform("features", lambda x: x.cast("double")), weights, lambda a, b: a * b)
+    pred = candidates.join(model.itemFactors, candidates.item_id == F.col("id")).select(
+        "item_id", F.aggregate(product, F.lit(0.0), lambda a, x: a + x).cast("float").alias("prediction"))
+    if vector is None:
+        pred = pred.limit(0)
+    j = pred.join(stats, "item_id").where(F.col("n_ratings") > min_ratings)
     return j.orderBy(F.desc("prediction"), F.asc("item_id")).limit(k) \
             .select("item_id", "title", "n_ratings", "prediction")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.weblog import parse_clf_columns, clf_time
+from ..functions.weblog import SIZE_RE, clf_time, parse_clf_columns
 from .relational import any_null
 
 
@@ -18,7 +18,7 @@ def bad_rows(parsed: DataFrame) -> DataFrame:
 
 def bad_size_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Lines whose size field is not a number, marked with ``*``."""
-    return lines.where(~F.col(col).rlike(r"\d+$")).select(F.concat(F.col(col), F.lit("*")).alias("line"))
+    return lines.where(~F.col(col).rlike(SIZE_RE)).select(F.concat(F.col(col), F.lit("*")).alias("line"))
 
 
 def clean(parsed: DataFrame) -> DataFrame:

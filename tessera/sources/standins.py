@@ -36,15 +36,21 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CLF line per event in column ``value``.
 
     host ``u<user_id>.example.com``; path ``/<event_type>/<k>``; status by
-    event type; size ``floor(value)``, ``-`` for errors."""
+    event type; size ``floor(value)``, ``-`` for errors.  Some lines are malformed:
+    every 101st event has no path, every 103rd a size with a letter, every 107th
+    a status with one."""
     ev = table(spark, sf_dir, "events")
     k = F.regexp_extract("props", r"(\d+)", 1)
     status = status_expr("event_type")
     size = F.when(F.col("event_type") == "error", F.lit("-")) \
             .otherwise(F.floor("value").cast("long").cast("string"))
+    every = lambda n: F.col("event_id") % n == 0
+    size = F.when(every(103), F.concat(F.lit("x"), size)).otherwise(size)
+    code = status.cast("string")
+    code = F.when(every(107), F.concat(F.substring(code, 1, 1), F.lit("x"), F.substring(code, 3, 1))).otherwise(code)
+    path = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), k, F.lit(" "))
     line = clf_line(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit(".example.com")),
-                    F.col("ts"), F.lit("GET"), F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), k),
-                    status.cast("string"), size)
+                    F.col("ts"), F.lit("GET"), F.when(every(101), F.lit("")).otherwise(path), code, size)
     return ev.select(line.alias("value"))
 
 

@@ -92,11 +92,21 @@ def test_two_way_products(spark):
 
 
 def test_clf_parse_and_time(spark):
-    line = 'in24.inetnebr.com - - [01/Aug/1995:00:00:01 -0400] "GET /shuttle/missions/sts-68/news/sts-68-mcc-05.txt HTTP/1.0" 200 1839'
+    line = 'gw7.example.net - - [01/Aug/1995:00:00:01 -0400] "GET /docs/2/index-05.txt HTTP/1.0" 200 1839'
     bad = 'host - - [01/Aug/1995:00:00:01 -0400] "GET /x HTTP/1.0" 404 -'
     df = spark.createDataFrame([(line,), (bad,)], "value string")
     p = df.select(*parse_clf_columns("value")).withColumn("time", clf_time("timestamp")).collect()
-    assert p[0].host == "in24.inetnebr.com" and p[0].path == "/shuttle/missions/sts-68/news/sts-68-mcc-05.txt"
+    assert p[0].host == "gw7.example.net" and p[0].path == "/docs/2/index-05.txt"
     assert p[0].status == 200 and p[0].content_size == 1839
     assert str(p[0].time) == "1995-08-01 00:00:01"
     assert p[1].status == 404 and p[1].content_size is None
+
+
+def test_clf_malformed_fields(spark):
+    head = 'h - - [01/Aug/1995:00:00:01 -0400] '
+    rows = [head + '"GET HTTP/1.0" 200 5', head + '"GET /x HTTP/1.0" 200 x9', head + '"GET /x HTTP/1.0" 200 -9',
+            head + '"GET /x HTTP/1.0" 4x4 7', "nothing like it", "", None]
+    p = spark.createDataFrame([(r,) for r in rows], "value string").select(*parse_clf_columns("value")).collect()
+    assert [r.path for r in p] == ["", "/x", "/x", "/x", "", "", None]
+    assert [r.status for r in p] == [200, 200, 200, None, None, None, None]
+    assert [r.content_size for r in p] == [5, None, None, 7, None, None, None]
