@@ -12,6 +12,9 @@ import re
 # How the byte-level vocabulary spells bytes (printable ones as themselves, others from U+0100 on).
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
+# Marks that are a pre-token of their own when they end a word.
+MARKS = frozenset(".,;:!?)")
+
 
 class Recent(dict):
     """A memo of two generations: bounded, keeps what is in use."""
@@ -35,14 +38,16 @@ class Recent(dict):
 class ByteLevel:
     """Ids of a byte-level ``tokenizers`` file as little-endian unsigned 32-bit bytes."""
 
-    #: white space at an edge or beside other white space: spaces there are no safe cuts
-    odd = re.compile(r"\s\s|^\s|\s$")
+    #: a space beside other white space is no safe cut
+    odd = re.compile(r" (?:\s|(?<=\s\s))")
     safe = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.code = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         rest = iter(range(0x100, 0x200))
         spell = {b: chr(b) for b in PRINTABLE}
@@ -52,14 +57,17 @@ class ByteLevel:
 
     def _words(self, word: str) -> bytes:
         """One pre-token in the vocabulary's spelling."""
-        return b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word))
+        code = self.code
+        return b"".join([code[t.id] for t in self.model.tokenize(word)])
 
     def _part(self, part: str) -> bytes:
         """A part that follows a space."""
         words = self.words
         if part.isalpha():  # letters only: one pre-token
             return words[(" " + part).encode().decode("latin-1").translate(self.spell)]
-        return b"".join([words[w] for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + part)])
+        if part[-1:] in MARKS and part[:-1].isalpha():  # and one mark: two
+            return words[(" " + part[:-1]).encode().decode("latin-1").translate(self.spell)] + words[part[-1]]
+        return b"".join([words[w] for w, _ in self.split.pre_tokenize_str(" " + part)])
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -68,8 +76,11 @@ class ByteLevel:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._whole(text)
-        head, *rest = text.split(" ") if self.odd.search(text) is None else self.safe.split(text)
-        first = b"".join([self.words[w] for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(head)])
+        if text[:1].isspace() or text[-1:].isspace() or self.odd.search(text):
+            head, *rest = self.safe.split(text)
+        else:
+            head, *rest = text.split(" ")
+        first = b"".join([self.words[w] for w, _ in self.split.pre_tokenize_str(head)])
         return first + b"".join(map(self.parts.__getitem__, rest))
 
     def count(self, text: str) -> int:
@@ -79,7 +90,6 @@ class ByteLevel:
 class Pieces:
     """Numbers of tokens of a ``sentencepiece`` model."""
 
-    odd = re.compile("[ ▁][ ▁]|^[ ▁]|[ ▁]$|▁")
     safe = re.compile("(?<=[^ ▁]) (?=[^ ▁])")
 
     def __init__(self, path: str, most: int = 400_000, batch_bytes: int = 1 << 18):
@@ -98,7 +108,8 @@ class Pieces:
     def split(self, text: str) -> list[str]:
         if not self.cuts:
             return [text]
-        return text.split(" ") if self.odd.search(text) is None else self.safe.split(text)
+        odd = "  " in text or "▁" in text or text[:1] == " " or text[-1:] == " "
+        return self.safe.split(text) if odd else text.split(" ")
 
     def _learn(self, parts: set[str]) -> dict[str, int]:
         """Lengths of parts not known yet, encoded in batches of about equal bytes."""
