@@ -21,7 +21,11 @@ from .common import fresh
 # Bytes that stay: lower-case letters and all of multi-byte characters.
 KEEP = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 SPACES = re.compile(rb" +")
-LETTER = re.compile(r"[^\W\d_]")
+LATIN = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    return LATIN.search(text) is not None or any(map(str.isalpha, text))
 
 
 def ngrams(text: str, bits: int) -> np.ndarray:
@@ -59,7 +63,7 @@ class Model:
         return total / max(1, len(g)) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not LETTER.search(text):
+        if not text or not self.langs or not has_letter(text):
             return "und", 0.0
         z = self.logits(text) / self.heat
         p = np.exp(z - z.max())
@@ -115,10 +119,10 @@ def fit(texts: list[str], labels: list[str], bits: int = 15, dim: int = 16, epoc
             bias -= 0.1 * lr * p
             emb[g] -= (lr * len(g) * 0.05) * w[:, None] * back
     model = Model(langs, (emb @ lin).astype(np.float32), bias.astype(np.float64), 1.0, 0.5, bits)
-    held = [(t, langs.index(y)) for t, y, h in zip(texts, labels, hold) if h and LETTER.search(t)]
+    held = [(t, langs.index(y)) for t, y, h in zip(texts, labels, hold) if h and has_letter(t)]
     if held:
         whole = np.array([model.logits(t) for t, _ in held])
-        short = [(model.logits(w), y) for t, y in held for w in (window(t, 8), window(t, 8)) if LETTER.search(w)]
+        short = [(model.logits(w), y) for t, y in held for w in (window(t, 8), window(t, 8)) if has_letter(w)]
         z = np.concatenate([whole, *[a[None] for a, _ in short]])
         y = np.array([y for _, y in held] + [y for _, y in short])
 
