@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -26,8 +27,11 @@ def build(master: str | None = None, shuffle_partitions: int | None = None,
     master = master or f"local[{cpus}]"
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "16g")
+    # how many partitions and how much memory is the caller's business
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if "TESSERA_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["TESSERA_DRIVER_MEMORY"]
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -40,8 +44,8 @@ def build(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a local test session) a fresh scratch
-    folder is made; on a cluster the setting must point at shared storage.
+    Only in a local session (tests) for which nothing is configured a fresh
+    scratch folder is made; on a cluster the setting must name shared storage.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
