@@ -519,27 +519,48 @@ def reg_assemble(spark, sf):
     return v.select("l_orderkey", "l_linenumber", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
-@register("reg_linear_fit")
+# ridge regression in closed form: standardised, (R + reg / sd(y) I) g = r, three features by Cramer's rule
+_RIDGE_CTE = """
+WITH s AS (SELECT *, ((l_orderkey * 8 + l_linenumber) * 7919 + 13) % 100 AS b FROM lineitem),
+tr AS (SELECT l_quantity AS x1, l_discount AS x2, l_tax AS x3, l_extendedprice AS y FROM s WHERE b < 80),
+m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2,
+             stddev_pop(x3) AS s3, stddev_pop(y) AS sy, corr(x1, x2) AS p, corr(x1, x3) AS q, corr(x2, x3) AS r,
+             corr(x1, y) AS c1, corr(x2, y) AS c2, corr(x3, y) AS c3, 1 + 0.1 / stddev_pop(y) AS a FROM tr),
+d AS (SELECT *, a * (a * a - r * r) - p * (p * a - r * q) + q * (p * r - a * q) AS det FROM m),
+g AS (SELECT *, (c1 * (a * a - r * r) - p * (c2 * a - r * c3) + q * (c2 * r - a * c3)) / det * sy / s1 AS w1,
+             (a * (c2 * a - r * c3) - c1 * (p * a - r * q) + q * (p * c3 - c2 * q)) / det * sy / s2 AS w2,
+             (a * (a * c3 - c2 * r) - p * (p * c3 - c2 * q) + c1 * (p * r - a * q)) / det * sy / s3 AS w3 FROM d),
+w AS (SELECT *, my - w1 * m1 - w2 * m2 - w3 * m3 AS w0 FROM g)
+"""
+_RIDGE_ROWS = _RIDGE_CTE + """
+SELECT 'intercept' AS name, round(w0, 3) AS weight FROM w UNION ALL SELECT 'l_quantity', round(w1, 3) FROM w
+UNION ALL SELECT 'l_discount', round(w2, 3) FROM w UNION ALL SELECT 'l_tax', round(w3, 3) FROM w"""
+
+
+@register("reg_linear_fit", _RIDGE_ROWS)
 def reg_linear_fit(spark, sf):
     tr, _ = _power_split(spark, sf)
     m = RG.linear_pipeline(REG_COLS).fit(tr)
     lr = m.stages[-1]
     rows = [("intercept", float(lr.intercept))] + list(zip(REG_COLS, map(float, lr.coefficients.toArray())))
-    return spark.createDataFrame(rows, "name string, weight double")
+    return spark.createDataFrame([(n, round(w, 3)) for n, w in rows], "name string, weight double")
 
 
-@register("reg_coefficients")
+@register("reg_coefficients", _RIDGE_ROWS)
 def reg_coefficients(spark, sf):
     tr, _ = _power_split(spark, sf)
     m = RG.linear_pipeline(REG_COLS).fit(tr)
-    return spark.createDataFrame(RG.coefficients(m, REG_COLS), "name string, weight double")
+    return spark.createDataFrame([(n, round(w, 3)) for n, w in RG.coefficients(m, REG_COLS)],
+                                 "name string, weight double")
 
 
-@register("reg_predict")
+@register("reg_predict", _RIDGE_CTE + """
+SELECT l_orderkey, l_linenumber, l_extendedprice AS label,
+       round(w0 + w1 * l_quantity + w2 * l_discount + w3 * l_tax, 3) AS prediction FROM s, w WHERE b >= 80""")
 def reg_predict(spark, sf):
     tr, te = _power_split(spark, sf)
     m = RG.linear_pipeline(REG_COLS).fit(tr)
-    return m.transform(te).select("l_orderkey", "l_linenumber", "label", "prediction")
+    return m.transform(te).select("l_orderkey", "l_linenumber", "label", F.round("prediction", 3).alias("prediction"))
 
 
 # fixed predictor for the SQL twins: price = 1000 * quantity

@@ -14,7 +14,7 @@ from ..functions.ml import sigmoid_clamped, squared_error
 from ..functions.weblog import clf_time
 from ..operators import relational as R
 from ..operators import weblog as WL
-from ..plans import broadcast_if_small, dense_index
+from ..plans import broadcast_if_small, cut_lineage, dense_index
 from ..sources import standins as S
 from ..sources import text as SRC
 from ..sources.tables import table
@@ -735,25 +735,42 @@ def set_drop_duplicates(spark, sf):
     return _t(spark, sf, "orders").dropDuplicates(["o_custkey"]).select("o_custkey")
 
 
-@register("smp_fraction")
+# Which rows a random sample or split takes differs between engines; what must
+# hold of it does not: size, members of the table, no row twice.
+def _members(sample, whole):
+    """(n_missing) rows of ``sample`` that ``whole`` does not have."""
+    keys = ["l_orderkey", "l_linenumber"]
+    return sample.join(whole.select(*keys).distinct(), keys, "left_anti").agg(F.count(F.lit(1)).alias("n_missing"))
+
+
+@register("smp_fraction", "SELECT true AS in_bounds, 0::BIGINT AS n_missing")
 def smp_fraction(spark, sf):
-    return _t(spark, sf, "lineitem").sample(withReplacement=False, fraction=0.1, seed=42) \
-                                    .select("l_orderkey", "l_linenumber")
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    got = li.sample(withReplacement=False, fraction=0.1, seed=42)
+    n = li.count()
+    bounds = got.agg(F.count(F.lit(1)).between(int(0.08 * n), int(0.12 * n) + 1).alias("in_bounds"))
+    return bounds.withColumn("n_missing", F.lit(_members(got, li).first()["n_missing"]))
 
 
-@register("smp_fixed_n")
+@register("smp_fixed_n", "SELECT least(50, count(*))::BIGINT AS n, 0::BIGINT AS n_missing FROM lineitem")
 def smp_fixed_n(spark, sf):
-    return R.sample_fixed_n(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), 50, seed=42)
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    got = R.sample_fixed_n(li, 50, seed=42)
+    return got.agg(F.count(F.lit(1)).alias("n")).withColumn("n_missing", F.lit(_members(got, li).first()["n_missing"]))
 
 
-@register("split_weights")
+@register("split_weights", """
+SELECT count(*) AS n_total, count(*) AS n_distinct, true AS in_bounds FROM lineitem""")
 def split_weights(spark, sf):
-    parts = _t(spark, sf, "lineitem").randomSplit([0.6, 0.2, 0.2], seed=42)
+    li = cut_lineage(_t(spark, sf, "lineitem").select("l_orderkey").withColumn("rid", F.monotonically_increasing_id()))
+    weights = [0.6, 0.2, 0.2]
     out = None
-    for i, p in enumerate(parts):
-        c = p.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit(i))
-        out = c if out is None else out.unionByName(c)
-    return out
+    for i, p in enumerate(li.randomSplit(weights, seed=42)):
+        p = p.select("rid", F.lit(i).alias("split"))
+        out = p if out is None else out.unionByName(p)
+    near = [F.abs(F.count_if(F.col("split") == i) / F.count(F.lit(1)) - w) < 0.03 for i, w in enumerate(weights)]
+    return out.agg(F.count(F.lit(1)).alias("n_total"), F.count_distinct("rid").alias("n_distinct"),
+                   (near[0] & near[1] & near[2]).alias("in_bounds"))
 
 
 @register("split_by_key", """

@@ -41,18 +41,6 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_split_weights_disjoint_and_complete(spark):
-    rows = E.queries()["split_weights"](spark, SF_SMALL).collect()
-    total = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
-    assert sum(r.n for r in rows) == total
-
-
-def test_sample_sizes(spark):
-    assert E.queries()["smp_fixed_n"](spark, SF_SMALL).count() == 50
-    n = E.queries()["smp_fraction"](spark, SF_SMALL).count()
-    assert 0 < n < spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
-
-
 def test_pca_components_orthonormal_and_eigen(spark):
     import numpy as np
     from tessera.operators import pca as PC
