@@ -130,15 +130,17 @@ def pack_best_fit(lengths: DataFrame, capacity: int, part_rows: int = 100_000, r
     """(piece_id, length, sequence_id, offset) for pieces (piece_id, length) with
     lengths 1 to ``capacity``; offsets in a sequence run without gaps from 0.
 
-    ``piece_id`` must be unique.  Each round at least halves the partitions, and
-    an uncertified single partition is final, so the rounds end by themselves;
-    ``rounds`` only bounds them.  A partition holds ``part_rows`` rows or so.
+    ``piece_id`` must be unique.  A partition holds ``part_rows`` rows or so, in
+    every round.  A single partition is final; with more, rounds go on while they
+    leave fewer pieces than before, ``rounds`` at most, and the last one is final.
     """
     todo = lengths.select("piece_id", "length")
     rows = todo.count()
-    parts, done = shards_for(rows, part_rows), None
+    done, before = None, None
     for k in range(rounds):
-        last = parts == 1 or k == rounds - 1
+        parts = shards_for(rows, part_rows)
+        last = parts == 1 or k == rounds - 1 or (before is not None and rows > 0.9 * before)
+        before = rows
         dealt = todo.withColumn("part", F.pmod(F.xxhash64("piece_id", F.lit(k)), F.lit(parts)))
         packed = pin(dealt.groupBy("part").applyInPandas(
             _packer(capacity, k, last), "piece_id long, length long, offset long, done boolean, sequence_id long"),
@@ -149,7 +151,6 @@ def pack_best_fit(lengths: DataFrame, capacity: int, part_rows: int = 100_000, r
         rows = todo.count()
         if not rows:
             break
-        parts = min(shards_for(rows, part_rows), max(1, parts // 2))
     return done
 
 
