@@ -473,16 +473,23 @@ def rat_unrated_items(spark, sf):
     return RT.unrated_items(S.items(spark, sf), u, -1)
 
 
+def _indexed_split(spark, sf):
+    """Train, validation and test ratings with dense ids, and the item ids."""
+    key = F.pmod("user_id", F.lit(100)) * 3 + F.pmod("item_id", F.lit(100))
+    r, items = RT.indexed(S.ratings(spark, sf).withColumn("key", key))
+    return [p.drop("key") for p in R.split_by_key(r, "key", [0.6, 0.2, 0.2])], items
+
+
 @register("als_train_select_rank")
 def als_train_select_rank(spark, sf):
-    tr, va, _ = _ratings_split(spark, sf)
+    (tr, va, _), _ = _indexed_split(spark, sf)
     rows, _ = RT.train_select_rank(tr, va)
     return spark.createDataFrame(rows, "rank int, val_rmse double")
 
 
 @register("als_evaluate")
 def als_evaluate(spark, sf):
-    tr, va, te = _ratings_split(spark, sf)
+    (tr, va, te), _ = _indexed_split(spark, sf)
     _, model = RT.train_select_rank(tr, va)
     return spark.createDataFrame([(model.rank, float(RT.rmse(model.transform(te))))],
                                  "rank int, test_rmse double")
@@ -491,12 +498,13 @@ def als_evaluate(spark, sf):
 @register("als_recommend")
 def als_recommend(spark, sf):
     r = S.ratings(spark, sf)
-    tr, va, _ = _ratings_split(spark, sf)
+    (tr, va, _), items = _indexed_split(spark, sf)
     _, best = RT.train_select_rank(tr, va)
     u = RT.new_user_ratings(r, user_id=-1)
-    model = RT.als(best.rank).fit(RT.add_user(tr, u))
+    numbered = u.join(items, "item_id").withColumn("user_ix", F.lit(-1))
+    model = RT.als(best.rank).fit(RT.add_user(tr, numbered))
     stats = RT.item_stats(r, S.items(spark, sf))
-    return RT.recommend(model, RT.unrated_items(S.items(spark, sf), u, -1), stats,
+    return RT.recommend(model, RT.unrated_items(S.items(spark, sf), u, -1).join(items, "item_id"), stats,
                         min_ratings=TOP_ITEMS_MIN_RATINGS, k=25)
 
 

@@ -5,6 +5,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
+from ..plans import broadcast_pinned, cut_lineage, dense_index
+
 
 def item_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, title, n_ratings, avg_rating)."""
@@ -45,11 +47,24 @@ def unrated_items(items: DataFrame, ratings: DataFrame, user_id: int) -> DataFra
                  .select(F.lit(user_id).cast("long").alias("user_id"), "item_id"))
 
 
+def ids_of(df: DataFrame, col: str, name: str) -> DataFrame:
+    """(col, name): a dense number for every different value, for models that take ints only."""
+    dense = dense_index(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], name)
+    return cut_lineage(dense.withColumn(name, F.col(name).cast("int")))
+
+
+def indexed(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ratings with user_ix and item_ix, written once, and (item_id, item_ix)."""
+    users, items = ids_of(ratings, "user_id", "user_ix"), ids_of(ratings, "item_id", "item_ix")
+    out = ratings.join(broadcast_pinned(users), "user_id").join(broadcast_pinned(items), "item_id")
+    return cut_lineage(out), items
+
+
 def als(rank: int, seed: int = 42, max_iter: int = 5, reg: float = 0.1, blocks: int = 10) -> ALS:
     """``blocks``: how many parts the user and the item factors each are dealt to;
-    raise it with the cluster.  Ids must fit an int (``dense_index`` makes such ids)."""
-    return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id", numUserBlocks=blocks,
-               numItemBlocks=blocks, itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
+    raise it with the cluster.  Works on the dense ids of ``indexed``."""
+    return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_ix", numUserBlocks=blocks,
+               numItemBlocks=blocks, itemCol="item_ix", ratingCol="rating", coldStartStrategy="drop")
 
 
 def rmse(pred: DataFrame) -> float:
@@ -77,15 +92,14 @@ def train_select_rank(train: DataFrame, val: DataFrame, ranks=(4, 8, 12), seed:
 
 
 def recommend(model, candidates: DataFrame, stats: DataFrame, min_ratings: int = 75,
-              k: int = 25) -> DataFrame:
+              k: int = 25, user_ix: int = -1) -> DataFrame:
     """The ``k`` best of the candidates of one user among items with more than
     ``min_ratings`` ratings: the user's factors enter as a literal, so candidates
-    join item factors on the item alone."""
-    user = candidates.first()
-    vector = model.userFactors.where(F.col("id") == user["user_id"]).first() if user else None
+    join item factors on the item alone.  ``candidates`` holds item_id and item_ix."""
+    vector = model.userFactors.where(F.col("id") == user_ix).first()
     weights = F.array(*[F.lit(float(x)) for x in (vector["features"] if vector else [0.0] * model.rank)])
     product = F.zip_with(F.transform("features", lambda x: x.cast("double")), weights, lambda a, b: a * b)
-    pred = candidates.join(model.itemFactors, candidates.item_id == F.col("id")).select(
+    pred = candidates.join(model.itemFactors, candidates.item_ix == F.col("id")).select(
         "item_id", F.aggregate(product, F.lit(0.0), lambda a, x: a + x).cast("float").alias("prediction"))
     if vector is None:
         pred = pred.limit(0)
