@@ -113,3 +113,27 @@ def op2_pii_spans(spark, sf_dir):
         F.size("terms").cast("long").alias("n_term"),
         F.sha2(all_spans(F.col("base"), none), 256).alias("base_sha256"),
         all_spans(F.col("base"), F.col("terms")).alias("spans"))
+
+ORACLE["op6_warc_bundles"] = """
+WITH pages_ AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+                       min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41),
+           lambda i: lpad(bin(('0x' || substr(hex, i, 1))::INT), 4, '0')), '') AS b FROM pages_)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * substr(b, 5 * i + 1, 1)::INT + 8 * substr(b, 5 * i + 2, 1)::INT + 4 * substr(b, 5 * i + 3, 1)::INT
+           + 2 * substr(b, 5 * i + 4, 1)::INT + substr(b, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM bits
+"""
+
+# all pairs and all paths: for small tables only
+ORACLE["op10_lattice_components"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+          ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON a = vec_id
+"""
