@@ -42,7 +42,7 @@ class ByteLevel:
     odd = re.compile(r" (?:\s|(?<=\s\s))")
     safe = re.compile(r"(?<=\S) (?=\S)")
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 200_000, odd: int = 40_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,7 +52,7 @@ class ByteLevel:
         rest = iter(range(0x100, 0x200))
         spell = {b: chr(b) for b in PRINTABLE}
         self.spell = {b: spell.get(b) or chr(next(rest)) for b in range(256)}
-        self.words = Recent(self._words, most)
+        self.words = Recent(self._words, odd)
         self.parts = Recent(self._part, most)
 
     def _words(self, word: str) -> bytes:
@@ -63,10 +63,10 @@ class ByteLevel:
     def _part(self, part: str) -> bytes:
         """A part that follows a space."""
         words = self.words
-        if part.isalpha():  # letters only: one pre-token
-            return words[(" " + part).encode().decode("latin-1").translate(self.spell)]
+        if part.isalpha():  # letters only: one pre-token, kept as a part alone
+            return self._words((" " + part).encode().decode("latin-1").translate(self.spell))
         if part[-1:] in MARKS and part[:-1].isalpha():  # and one mark: two
-            return words[(" " + part[:-1]).encode().decode("latin-1").translate(self.spell)] + words[part[-1]]
+            return self.parts[part[:-1]] + words[part[-1]]
         return b"".join([words[w] for w, _ in self.split.pre_tokenize_str(" " + part)])
 
     def _whole(self, text: str) -> bytes:
