@@ -3,8 +3,8 @@
 Runs a fixed set of registered queries at ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and prints one JSON line.
 Each query is executed to completion with the ``noop`` sink, so the timing
-covers the whole plan without funnelling rows through the driver; the median of
-three runs counts, after one warm-up run.
+covers the whole plan without funnelling rows through the driver; one run each
+counts, after a warm-up run of the first.
 """
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tessera.catalog import QUERIES  # noqa: E402
 from tessera.session import build  # noqa: E402
 
-RUNS = 3
+RUNS = 1
 
 HEADLINE = [
     "log_top_error_paths",     # parse CLF text, filter, aggregate, top-k
