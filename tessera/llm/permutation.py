@@ -6,6 +6,7 @@ is represented by its ``prefix`` nearest pivots in order, and posted, with its
 place in that order, in the inverted file of each of them.  A query reads the
 files of its own nearest pivots, ranks what is posted there by footrule
 distance between the two orders, and reranks the best by the inner product.
+Equal vectors are posted once, with the ids that can be in an answer.
 """
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import pin, shards_for
@@ -37,6 +39,21 @@ def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndar
     return np.take_along_axis(top, np.argsort(np.take_along_axis(near, top, 1), 1, kind="stable"), 1)
 
 
+def apart(unit: np.ndarray, most: int, cosines: tuple[float, ...] = (0.5, 0.7, 0.9, 1 - 1e-9)) -> np.ndarray:
+    """Up to ``most`` of the rows, the first ones that lie apart: those at the
+    least cosine to the ones taken before, then those at the next, never equals."""
+    taken, near = [], np.full(len(unit), -np.inf)
+    for least in cosines:
+        for i in range(len(unit)):
+            if len(taken) == most:
+                return unit[taken]
+            if near[i] < least:
+                taken.append(i)
+                near = np.maximum(near, unit @ unit[i])
+                near[i] = np.inf
+    return unit[taken]
+
+
 class InvertedFiles:
     """The posting lists of one shard: for each pivot, rows and their places."""
 
@@ -65,28 +82,32 @@ def _search(pivots: np.ndarray, longest: float, dim: int, prefix: int, k: int, s
         if not index.num_rows or not queries.num_rows:
             return FOUND.empty_table()
         x = matrix(index.column("vec"), dim).astype(np.float64)
-        ids = index.column("id").to_numpy()
         q = matrix(queries.column("q_vec"), dim).astype(np.float64)
+        members = index.column("members").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(members).to_numpy())
+        starts = np.concatenate([[0], ends[:-1]])
+        ids, own = (members.flatten().field(c).to_numpy() for c in ("id", "row"))
         files = InvertedFiles(nearest_pivots(lift(x, longest), pivots, prefix), len(pivots))
         norm = np.linalg.norm(q, axis=1, keepdims=True)
         orders = nearest_pivots(np.column_stack([q / norm, np.zeros(len(q))]), pivots, prefix)
         take = min(len(x), max(math.ceil(share * len(x)), least) + 1)  # one more: the query itself
         qid, rid = queries.column("q_id").to_numpy(), queries.column("q_row").to_numpy()
-        own = index.column("row").to_numpy()
         out: list[tuple] = []
         for i in range(len(q)):
-            close = files.closeness(orders[i])
-            best = np.argpartition(-close, take - 1)[:take] if take < len(x) else np.arange(len(x))
-            best = best[own[best] != rid[i]]
-            if not len(best):
-                continue
+            best = np.arange(len(x))
+            if take < len(x):  # all that are as close as the last one
+                close = files.closeness(orders[i])
+                best = np.flatnonzero(close >= np.partition(close, len(x) - take)[len(x) - take])
             rough = x[best] @ q[i]
-            if len(best) > k:
-                edge = np.partition(rough, len(best) - k)[len(best) - k]
+            if len(best) > k + 1:
+                edge = np.partition(rough, len(best) - k - 1)[len(best) - k - 1]
                 best = best[rough >= edge - 1e-9 * max(1.0, abs(edge))]
             score = (x[best] * q[i]).sum(1)  # the same order of additions for every row
-            top = np.lexsort((ids[best], -score))[:k]
-            out.append((np.full(len(top), qid[i]), np.full(len(top), rid[i]), ids[best[top]], score[top]))
+            at = np.concatenate([np.arange(starts[b], ends[b]) for b in best])
+            score = np.repeat(score, ends[best] - starts[best])[own[at] != rid[i]]
+            at = at[own[at] != rid[i]]
+            top = np.lexsort((ids[at], -score))[:k]
+            out.append((np.full(len(top), qid[i]), np.full(len(top), rid[i]), ids[at[top]], score[top]))
         if not out:
             return FOUND.empty_table()
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=FOUND)
@@ -100,12 +121,14 @@ def permutation_search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col:
     """The ``k`` rows of ``df`` nearest to each row for which ``is_query`` (a
     column of ``df``) holds: query_id, rank, ``id_col``, score.
 
-    The pivots are a bounded sample: the ``pivots`` usable rows with the smallest
-    hash of their id.  All rows are indexed, in shards of about ``shard_rows``;
-    every block of queries visits every shard, and there the better of ``share``
-    of its rows and ``least`` rows is reranked.  Rows are candidates of all
-    queries but the one they are themselves (repeated rows are candidates of each
-    other).  Ties go to the smaller id.  Vectors that are null, zero, of another
+    The pivots are a bounded sample: of the 16 ``pivots`` different vectors with
+    the smallest hash, ``pivots`` that lie apart.  All different vectors are
+    indexed, in shards of about ``shard_rows``, each with the ``k`` + 1 smallest ids
+    that bear it, as no answer holds more; every block of queries visits every
+    shard, and there the better of ``share`` of its vectors and ``least`` vectors
+    is reranked, with all that are as close as the last of them.  Rows are
+    candidates of all queries but the one they are themselves (repeated rows are
+    candidates of each other).  Ties go to the smaller id.  Vectors that are null, zero, of another
     length than most, or hold null or non-finite components take no part, nor do
     rows without an id; an empty table gives no rows.
     """
@@ -116,22 +139,29 @@ def permutation_search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col:
         F.coalesce(is_query, F.lit(False)).alias("query"), F.monotonically_increasing_id().alias("row"))
     rows = pin(rows, "vectors")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    n, n_q, longest = rows.agg(F.count("*"), F.count_if("query"), F.max(norm)).first()
-    if not n or not n_q:
+    n_q, longest = rows.agg(F.count_if("query"), F.max(norm)).first()
+    if not n_q:
         return spark.createDataFrame([], "query_id long, rank int, id long, score double").withColumnRenamed(
             "id", id_col)
-    sample = rows.orderBy(F.xxhash64("id"), "row").limit(pivots).select("vec").toArrow()  # bounded: ``pivots`` rows
-    piv = lift(matrix(sample.column("vec"), dim).astype(np.float64), longest)
+    # the limit on a row number is taken before the shuffle too: a common vector is no large group
+    each = Window.partitionBy("hash", "vec").orderBy("id", "row")
+    members = rows.select("id", "row", "vec", F.xxhash64("vec").alias("hash")).withColumn(
+        "place", F.row_number().over(each)).where(F.col("place") <= k + 1)
+    vectors = pin(members.groupBy("hash", "vec").agg(
+        F.array_sort(F.collect_list(F.struct("id", "row"))).alias("members")), "postings")
+    n = vectors.count()
+    sample = vectors.orderBy("hash", "vec").limit(16 * pivots).select("vec").toArrow()  # bounded
+    piv = apart(lift(matrix(sample.column("vec"), dim).astype(np.float64), longest), pivots)
     prefix = min(prefix, len(piv))
     shards, blocks = shards_for(n, shard_rows), shards_for(n_q, query_block)
-    shard, block = F.pmod(F.xxhash64("row"), F.lit(shards)), F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks))
-    index = rows.withColumn("shard", shard).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    shard, block = F.pmod("hash", F.lit(shards)), F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks))
+    index = vectors.withColumn("shard", shard).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = rows.where("query").withColumn("block", block).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     # names of their own: both sides come from the same table
     asked = asked.select(F.col("shard").cast("long").alias("q_shard"), F.col("block").cast("int").alias("q_block"),
                          F.col("id").alias("q_id"), F.col("row").alias("q_row"), F.col("vec").alias("q_vec"))
-    found = index.select("shard", F.col("block").cast("int").alias("block"), "id", "row", "vec").groupBy(
+    found = index.select("shard", F.col("block").cast("int").alias("block"), "vec", "members").groupBy(
         "shard", "block").cogroup(asked.groupBy("q_shard", "q_block")).applyInArrow(
         _search(piv, longest, dim, prefix, k, share, least),
         "query_id long, query_row long, id long, score double")

@@ -85,6 +85,35 @@ def test_permutation_recall_and_few_rows(spark):
     assert permutation.permutation_search(df.limit(1), F.lit(True)).count() == 0
 
 
+def test_permutation_copies_and_a_cluster(spark):
+    rng = np.random.default_rng(13)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    one, centre = unit(rng.normal(size=(2, 32)))
+    x = np.concatenate([unit(rng.normal(size=(1000, 32))), unit(centre + 0.05 * rng.normal(size=(1000, 32))),
+                        np.tile(one, (1000, 1))])  # a third each: apart, in a cluster, copies
+    x = x[rng.permutation(len(x))]
+    df = spread(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
+    got = permutation.permutation_search(df, F.col("vec_id") % 30 == 0, k=10, pivots=64, prefix=32, least=50, share=0.12)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    copies = [i for i, v in enumerate(x) if (v == one).all()]
+    hits = {"apart": [], "cluster": []}
+    for q, mine in found.items():
+        mine = [i for _, i in sorted(mine)]
+        if q in copies:
+            assert mine == [i for i in copies if i != q][:10]  # the smallest ids
+            continue
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        want = np.lexsort((np.arange(len(x)), -s))[:10]
+        hits["cluster" if x[q] @ centre > 0.7 else "apart"].append(len(set(mine) & set(want.tolist())) / 10)
+    assert len(found) == 100 and all(len(h) > 20 and np.mean(h) >= 0.85 for h in hits.values()), {
+        k: np.mean(h) for k, h in hits.items()}
+    units = permutation.apart(np.concatenate([np.tile(one, (50, 1)), unit(rng.normal(size=(20, 32)))]), 64)
+    assert len(units) == 21  # equal vectors give one pivot
+
+
 # ---------------------------------------------------------------- 2
 
 PII_TEXT = ("mail a.b@x.org, a@b@c.d.e or +1 (743) 555-3824, 10.0.0.256 10.0.0.1.2.3.4 "
