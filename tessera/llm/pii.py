@@ -1,19 +1,21 @@
 """Personal data: patterns, and terms that disclose what the patterns protect.
 
 Emails, addresses, card and phone numbers are found by pattern; each different
-value is a protected entity.  Terms near mentions of an entity may give it away
-even when it is masked.  How strongly is estimated from the corpus: with n(e)
-documents that mention e, n(t) that hold t, n(e, t) where t stands near e, and N
-in all, the pointwise mutual information log(N n(e, t) / (n(e) n(t))) is the part
-of e's information content log(N / n(e)) that t discloses.  A term that
-discloses ``general`` of it or more is generalised to a placeholder there, one
-that discloses ``remove`` or more is removed.  Pairs need ``support`` different
-contexts, so copies of one passage alone disclose nothing.
+value is a protected entity.  Terms in documents that mention an entity may give
+it away even when it is masked.  How strongly is estimated from the corpus: with
+n(e) documents that mention e, n(t) that hold t, n(e, t) that do both, and N in
+all, the pointwise mutual information log(N n(e, t) / (n(e) n(t))) is the part of
+e's information content log(N / n(e)) that t discloses.  Wherever it stands in
+a document that mentions e, a term that discloses ``general`` of it or more is
+generalised to a placeholder, one that discloses ``remove`` or more is removed.
+Pairs need ``support`` different contexts (the words around the mentions and the
+term), so copies of one passage alone disclose nothing.
 """
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,10 +33,13 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-TERM = re.compile(r"[^\W\d_]{3,}")
+# Terms: three letters or digits, two of scripts without spaces; with underscores also whole.
+TERM = re.compile(r"[^\W_]{3,}|[\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7a3\uf900-\ufaff\U00020000-\U0003ffff]{2}")
+JOINED = re.compile(r"(?<![^\W_])[^\W_]++(?:_++[^\W_]++)+")
 
 SPAN = "struct<rank:int,start:int,end:int>"
-FOUND = f"struct<base:array<{SPAN}>,near:array<struct<entity:bigint,context:bigint,term:string,start:int,end:int>>>"
+FOUND = f"struct<base:array<{SPAN}>,mentions:array<struct<entity:bigint,context:bigint>>>"
+MASKED = "array<struct<start:int,end:int,part:double>>"
 
 
 def luhn(digits: str) -> bool:
@@ -78,33 +83,55 @@ def number(*parts: str) -> int:
                           "little", signed=True)
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
-    """Terms within ``window`` characters of each span that overlap none of them;
-    an entity is its kind and its letters and digits, kept as a hash only."""
-    out = []
-    cover = sorted((a, b) for _, a, b in spans)
+def all_terms(text: str) -> set[str]:
+    found = set(TERM.findall(text))
+    if "_" in text:
+        found.update(JOINED.findall(text))
+    return {w.lower() for w in found}
+
+
+def term_places(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, term) of all terms that overlap none of the spans; of those
+    that start together the longest comes first."""
+    out = [(m.start(), m.end(), m[0].lower()) for m in TERM.finditer(text)]
+    if "_" in text:
+        out += [(m.start(), m.end(), m[0].lower()) for m in JOINED.finditer(text)]
+        out.sort(key=lambda m: (m[0], -m[1]))
+    cover, clear = [], []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if cover and a < cover[-1][1]:
+            cover[-1][1] = max(b, cover[-1][1])
+        else:
+            cover.append([a, b])
+    at = 0
+    for m in out:
+        while at < len(cover) and cover[at][1] <= m[0]:
+            at += 1
+        if at == len(cover) or cover[at][0] >= m[1]:
+            clear.append(m)
+    return clear
+
+
+class Contexts:
+    """Hashes of the terms within ``window`` characters of a place."""
+
+    def __init__(self, places: list[tuple[int, int, str]], window: int):
+        self.places, self.window = places, window
+        self.starts = [a for a, _, _ in places]
+
+    def of(self, start: int, end: int) -> int:
+        lo, hi = (bisect_left(self.starts, x) for x in (start - self.window, end + self.window))
+        return number(" ".join(t for _, b, t in self.places[lo:hi] if b <= end + self.window))
+
+
+def mentions(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
+    """Each entity of the spans with one hash of all its contexts; an entity is
+    its kind and its letters and digits, kept as a hash only."""
+    contexts, out = Contexts(term_places(text, spans), window), {}
     for rank, start, end in spans:
-        lo, hi = max(0, start - window), min(len(text), end + window)
         entity = number(KINDS[rank], re.sub(r"[^\w@]", "", text[start:end].lower()))
-        close = [c for c in cover if c[0] < hi and c[1] > lo] if len(cover) < 64 else _between(cover, lo, hi)
-        words = [m for m in TERM.finditer(text, lo, hi)
-                 if not any(m.start() < b and m.end() > a for a, b in close)
-                 and not (m.start() == lo and lo and text[lo - 1].isalpha())
-                 and not (m.end() == hi and hi < len(text) and text[hi].isalpha())]
-        context = number(" ".join(m[0].lower() for m in words))
-        out += [{"entity": entity, "context": context, "term": m[0].lower(), "start": m.start(), "end": m.end()}
-                for m in words]
-    return out
-
-
-def _between(cover: list[tuple[int, int]], lo: int, hi: int) -> list[tuple[int, int]]:
-    from bisect import bisect_left
-
-    last = bisect_left(cover, (hi,))
-    first = last
-    while first and cover[first - 1][1] > lo:
-        first -= 1
-    return cover[first:last]
+        out.setdefault(entity, set()).add(contexts.of(start, end))
+    return [{"entity": e, "context": number(*map(str, sorted(c)))} for e, c in out.items()]
 
 
 def _scan(window: int):
@@ -115,23 +142,59 @@ def _scan(window: int):
             t = t.as_py() or ""
             spans = base_spans(t)
             rows.append({"base": [{"rank": k, "start": a, "end": b} for k, a, b in spans],
-                         "near": near_terms(t, spans, window) if spans else []})
+                         "mentions": mentions(t, spans, window) if spans else []})
         return pa.array(rows, pa.struct([
             ("base", pa.list_(pa.struct([("rank", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))),
-            ("near", pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()),
-                                         ("start", pa.int32()), ("end", pa.int32())])))]))
+            ("mentions", pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())])))]))
 
     return scan
 
 
-def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str, most: int = 100_000) -> DataFrame:
-    """(term, n_t): in how many documents each term of ``terms`` stands.
+def _terms(window: int):
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(row, term, context) of every different term of each (row, text)."""
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                places = term_places(text, base_spans(text))
+                contexts, first = Contexts(places, window), {}
+                for a, b, t in places:
+                    first.setdefault(t, (a, b))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row] * len(first), pa.int64()), pa.array(list(first), pa.string()),
+                     pa.array([contexts.of(a, b) for a, b in first.values()], pa.int64())], ["row", "term", "context"])
+
+    return terms
+
+
+def _masked():
+    @arrow_udf(MASKED)
+    def masked(texts: pa.Array, told: pa.Array) -> pa.Array:
+        """Where the terms of (term, part) stand in each text, longest ones only."""
+        rows = []
+        for text, told_here in zip(texts, told):
+            text, parts, out = text.as_py(), {x["term"]: x["part"] for x in told_here.as_py() or []}, []
+            for a, b, t in term_places(text, base_spans(text)) if text and parts else []:
+                if t not in parts:
+                    continue
+                if out and a < out[-1]["end"]:
+                    out[-1]["part"] = max(out[-1]["part"], parts[t])
+                else:
+                    out.append({"start": a, "end": b, "part": parts[t]})
+            rows.append(out)
+        return pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("part", pa.float64())])))
+
+    return masked
+
+
+def document_frequencies(docs: DataFrame, terms: DataFrame | None, text_col: str, most: int = 100_000) -> DataFrame:
+    """(term, n_t): in how many documents each term of ``terms`` (None: any) stands.
 
     Up to ``most`` terms travel to the tasks; beyond, all terms are counted and
     joined.  Tasks sum up before the shuffle, in counters of bounded size.
     """
-    known = terms.count()
-    wanted = frozenset(r[0] for r in terms.limit(most).collect()) if known <= most else None  # a few MB at most
+    few = terms is not None and terms.count() <= most
+    wanted = frozenset(r[0] for r in terms.limit(most).collect()) if few else None  # a few MB at most
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +206,7 @@ def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str, most:
 
         for batch in batches:
             for t in batch.column(0):
-                words = set(TERM.findall((t.as_py() or "").lower()))
+                words = all_terms(t.as_py() or "")
                 n.update(words if only is None else words & only)
                 if len(n) > 200_000:
                     yield full()
@@ -151,27 +214,49 @@ def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str, most:
         yield full()
 
     out = docs.select(text_col).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-    return out if wanted is not None else out.join(terms, "term", "left_semi")
+    return out if few or terms is None else out.join(terms, "term", "left_semi")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, text_col: str, general: float, support: int) -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, text_col: str, window: int, general: float,
+                support: int) -> DataFrame:
     """(entity, term, part): the part of the entity's information that the term
-    discloses, where that is ``general`` or more."""
+    discloses, where that is ``general`` or more.
+
+    Documents of equal text are one class.  What cannot reach ``support`` or
+    ``general`` is left out before terms and entities meet: entities and terms of
+    fewer classes, and, as n(e, t) is at most n(e), terms with
+    n(t) > N ** (1 - general) * n(e) ** general.
+    """
     n = found.count()
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.context", "x.term")
-    by_doc = near.groupBy("entity", "term", "row").agg(F.min("context").alias("context"))
-    by_context = by_doc.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    pairs = pin(by_context.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
-                .where(F.col("contexts") >= support), "pairs")
-    if not pairs.limit(1).count():
-        return pairs.select("entity", "term", F.lit(0.0).alias("part"))
-    n_e = near.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = document_frequencies(docs, pin(pairs.select("term").distinct(), "terms"), text_col)
+    each = found.select("row", "hash", F.explode("mentions").alias("x")).select("row", "hash", "x.entity", "x.context")
+    classes = pin(each.groupBy("entity", "hash").agg(F.min("row").alias("row"), F.min("context").alias("near"),
+                                                     F.count("*").alias("w")), "classes")
+    n_e = classes.groupBy("entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("texts"))
+    n_e = pin(n_e.where((F.col("texts") >= support) & (F.col("n_e") < n)).select("entity", "n_e"), "entities")
+    most = n_e.agg(F.max("n_e")).first()[0]
+    if most is None:
+        return n_e.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("part")).limit(0)
+    classes = pin(classes.join(n_e, "entity").select("entity", "row", "near", "w", "n_e"), "mentions")
+    texts = found.where(F.size("mentions") > 0).select("row", "text").join(
+        pin(classes.select("row").distinct(), "texts"), "row", "left_semi")
+    often = document_frequencies(texts, None, "text").where(F.col("n_t") >= support)
+    n_t = document_frequencies(docs, pin(often.select("term"), "terms"), text_col)
+
+    def bound(mentioned):
+        return F.pow(F.lit(float(n)), F.lit(1 - general)) * F.pow(mentioned, F.lit(general)) * (1 + 1e-9)
+
+    rare = pin(n_t.where(F.col("n_t") <= bound(F.lit(float(most)))), "rare")
+    held = texts.mapInArrow(_terms(window), "row long, term string, context long").join(rare, "term")
+    pairs = held.join(classes, "row").where(F.col("n_t") <= bound(F.col("n_e")))
+    by_context = pairs.groupBy("entity", "term", "near", "context").agg(
+        F.sum("w").alias("n"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
+    pairs = by_context.groupBy("entity", "term").agg(
+        F.sum("n").alias("n_et"), F.count("*").alias("contexts"), F.max("n_e").alias("n_e"),
+        F.max("n_t").alias("n_t")).where(F.col("contexts") >= support)
     whole = F.lit(float(n))
     information = F.log(whole / F.col("n_e"))
     told = F.log(whole * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    out = pairs.join(n_e, "entity").join(n_t, "term").where(F.col("n_e") < n)
-    return pin(out.select("entity", "term", (told / information).alias("part")).where(F.col("part") >= general),
+    return pin(pairs.select("entity", "term", (told / information).alias("part")).where(F.col("part") >= general),
                "disclosures")
 
 
@@ -179,23 +264,29 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
              general: float = 0.8, support: int = 3) -> DataFrame:
     """One row per row of ``docs``: its id, ``hash`` (of the text), ``base`` (spans
     of patterns: rank of the kind, start, end; by rank, then start) and ``terms``
-    (start, end, part: what the most disclosed entity nearby loses by the term).
+    (start, end, part: what the most disclosed entity of the row loses by the
+    term; every place of the term in the text, by start).  Of different contexts
+    the words within ``window`` characters tell.
 
     Positions count code points, ends are exclusive.  Null and empty texts have
     no spans.  Repeated rows each give a row and count as documents; an empty
     table gives no rows.  Whole texts are searched, and the statistics are over
     all documents.
     """
-    found = pin(docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
-                            _scan(window)(F.col(text_col)).alias("f"), F.monotonically_increasing_id().alias("row"))
-                .select("row", "id", "hash", "f.base", "f.near"), "found")
-    told = disclosures(docs, found, text_col, general, support)
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
-    terms = near.join(told, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("part").alias("part"))
-    terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "part"))).alias("terms"))
-    out = found.select("row", "id", "hash", "base").join(terms, "row", "left")
-    none = F.array().cast("array<struct<start:int,end:int,part:double>>")
-    return out.select(F.col("id").alias(id_col), "hash", "base", F.coalesce("terms", none).alias("terms"))
+    found = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+                        F.col(text_col).alias("text"), _scan(window)(F.col(text_col)).alias("f"),
+                        F.monotonically_increasing_id().alias("row"))
+    found = pin(found.select("row", "id", "hash", "f.base", "f.mentions",
+                             F.when(F.size("f.mentions") > 0, F.col("text")).alias("text")), "found")
+    told = disclosures(docs, found, text_col, window, general, support)
+    each = found.select("row", F.explode("mentions").alias("x")).select("row", "x.entity")
+    terms = each.join(told, "entity").groupBy("row", "term").agg(F.max("part").alias("part"))
+    terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "part")).alias("told"))
+    masked = found.where(F.size("mentions") > 0).select("row", "text").join(terms, "row").select(
+        "row", _masked()("text", "told").alias("terms"))
+    out = found.select("row", "id", "hash", "base").join(masked, "row", "left")
+    return out.select(F.col("id").alias(id_col), "hash", "base",
+                      F.coalesce("terms", F.array().cast(MASKED)).alias("terms"))
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -215,8 +306,8 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 80,
              general: float = 0.8, remove: float = 0.95, support: int = 3) -> DataFrame:
     """``docs`` with [EMAIL], [IP], [CARD] and [PHONE] for what the patterns find,
-    [TERM] for terms that disclose ``general`` of an entity nearby, and nothing for
-    those that disclose ``remove``.  Other texts, and all other columns, stay."""
+    [TERM] for terms that disclose ``general`` of an entity of the text, and nothing
+    for those that disclose ``remove``.  Other texts, and all other columns, stay."""
     i, h, t = fresh(docs, "i", "h", "t")
     spans = find_pii(docs, id_col, text_col, window, general, support).where(F.size("terms") > 0)
     spans = pin(spans.select(F.col(id_col).alias(i), F.col("hash").alias(h), F.col("terms").alias(t))

@@ -162,6 +162,25 @@ def test_pii_terms_and_sanitise(spark):
     assert pii.find_pii(df.limit(0)).count() == 0 and pii.sanitise(df.limit(0)).count() == 0
 
 
+def test_pii_terms_of_whole_documents(spark):
+    far = "plain words that stand in every document of the corpus here and fill more than a window " * 2
+    names = ["alpha", "bravo", "carol", "delta", "early"]
+    texts = [f"{far} number {k} nothing at all" for k in range(60)]
+    texts += [f"quixotic {far} {w} bob@corp.org {far} kz91x {w}, \u674e\u660e. {far} jo_77 {w} quixotic" for w in names]
+    passage = f"{far} uniqueword {far} ann@corp.org {far}"  # one passage in six different documents
+    texts += [f"{'uvwxyz'[k] * 4} {passage} {'uvwxyz'[k] * 5}" for k in range(6)]
+    df = spread(docs_of(spark, texts))
+    shown = {}
+    for r in pii.find_pii(df).collect():
+        t = texts[r["doc_id"]]
+        shown[r["doc_id"]] = [t[s["start"]:s["end"]] for s in r["terms"]]
+    for k in range(60, 65):
+        assert shown[k] == ["quixotic", "kz91x", "\u674e\u660e", "jo_77", "quixotic"]
+    assert not any(shown[k] for k in shown if not 60 <= k < 65)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert not any(w in clean[k] for k in range(60, 65) for w in ("quixotic", "kz91x", "\u674e\u660e", "jo_77"))
+
+
 def test_pii_frequencies_without_broadcast(spark):
     df = docs_of(spark, ["one two two", "two three", None, ""])
     terms = spark.createDataFrame([("two",), ("three",)], "term string")
