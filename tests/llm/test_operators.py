@@ -437,6 +437,27 @@ def test_poisson_table(spark):
     assert abs(got[None][-1] - 1) < 1e-9 and abs(sum(1 - c for c in got[None]) - 900) < 1e-3
 
 
+def test_poisson_of_large_rates(spark):
+    from math import erf, sqrt
+
+    rates = spark.createDataFrame([("a", 1e6), ("b", 2.5e7), (None, 1001.5)], "source string, rate double")
+    for r in mixing.poisson_tables(rates).collect():
+        m = {"a": 1e6, "b": 2.5e7, None: 1001.5}[r["source"]]
+        cdf = np.array(r["cdf"])
+        assert len(cdf) <= 24 * sqrt(m) + 64 and r["low"] < m  # the state grows with the root
+        assert abs(cdf[-1] - 1) < 1e-12 and cdf[0] < 1e-12
+        p = np.diff(cdf, prepend=0)
+        k = r["low"] + np.arange(len(cdf))
+        assert abs((p * k).sum() / m - 1) < 1e-9 and abs((p * (k - m) ** 2).sum() / m - 1) < 1e-4
+        at = int(m + sqrt(m)) - r["low"]
+        assert abs(cdf[at] - (1 + erf(1 / sqrt(2))) / 2) < 2 / sqrt(m) + 1e-6
+    # one short document beside a large source: its rate is 1e6
+    rows = [(1, "x", "en", "tiny", 1), (2, "y" * 1_999_999, "en", "large", 1_999_999)]
+    out = mixing.mix_sources(spark.createDataFrame(rows, DOCS)).where("source = 'tiny'")
+    n, low, high, different = out.agg(F.count("*"), F.min("copy"), F.max("copy"), F.countDistinct("copy")).first()
+    assert abs(n - 1e6) < 6e3 and (low, high, different) == (0, n - 1, n)
+
+
 # ---------------------------------------------------------------- 9
 
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json"])
