@@ -528,6 +528,23 @@ def test_lattice(spark):
     assert e8.lattice_components(df.where("embedding is null")).collect()[0]["n_links"] == 0
 
 
+def test_lattice_with_shipped_parameters(spark):
+    rng = np.random.default_rng(14)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(3000, 64)))
+    away = rng.normal(size=x.shape)
+    away = unit(away - (away * x).sum(1, keepdims=True) * x)
+    cosine = np.repeat([0.9 + 1e-9, 0.915, 0.93], 1000)[:, None]
+    y = cosine * x + np.sqrt(1 - cosine ** 2) * away  # one pair each, nothing else is as near
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, y]))]
+    df = spread(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    links = {r["vec_id"]: r["n_links"] for r in e8.lattice_components(df, least=0.9).collect()}
+    recall = [np.mean([links[k] for k in range(a, a + 1000)]) for a in (0, 1000, 2000)]
+    print("recall at 0.9, 0.915, 0.93:", recall)
+    assert all(links[k] == links[k + 3000] <= 1 for k in range(3000))
+    assert recall[0] >= 0.98 and recall[1] >= 0.99 and recall[2] >= 0.995
+
+
 def test_e8_decode():
     rng = np.random.default_rng(12)
     y = rng.normal(0, 2, (2000, 8))
