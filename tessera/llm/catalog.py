@@ -5,6 +5,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .alignment import align_corpus
 from .common import shared_path
 from .e8 import lattice_components
 from .langid import is_held_out, predict, train
@@ -12,10 +13,12 @@ from .mixing import mix_sources
 from .packing import pack_documents
 from .permutation import permutation_search
 from .pii import KINDS as PII_KINDS, all_spans, count_rank, find_pii
+from .rarity import compare_neighbours
 from .secrets import KINDS, count_kind, secret_spans, span_digest, span_text
 from .simhash import simhash_components
 from .tokencount import count_tokens
 from .warc import read_records, write_bundles
+from .whitening import whiten
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -114,6 +117,24 @@ def op2_pii_spans(spark, sf_dir):
         F.sha2(all_spans(F.col("base"), none), 256).alias("base_sha256"),
         all_spans(F.col("base"), F.col("terms")).alias("spans"))
 
+
+@query
+def op11_feast_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), k=16)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = align_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_rarity_digest(spark, sf_dir):
+    return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op6_warc_bundles"] = """
 WITH pages_ AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
                        min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
