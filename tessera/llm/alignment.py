@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,64 +25,49 @@ from pyspark.sql import DataFrame, functions as F
 from .batchtokens import encoder, slices_by_bytes
 from .common import pin
 
-Run = tuple[bool, int, int, int, int]
+class Aligned(NamedTuple):
+    """Token ``left[k]`` of the first side is linked to ``right[k]`` of the other;
+    ``groups`` spells the tokens of each group, ``a1,a2|b1``."""
 
+    left: list[int]
+    right: list[int]
+    groups: list[str]
 
-def diagonal_runs(a: list[int], b: list[int]) -> Iterator[Run]:
-    """(one_to_one, i, i', j, j'): tokens i to i' - 1 of the first side and j to j' - 1
-    of the other are a stretch of one-to-one groups, or one irregular group.  ``a`` and
-    ``b`` are the end offsets; their last ones are equal."""
+
+def diagonal_runs(a: list[int], b: list[int], names_a: list[str], names_b: list[str]) -> Aligned:
+    """Align two sides by their end offsets ``a`` and ``b``, whose last ones are equal."""
+    left, right, groups = [], [], []
     i = j = 0
     n, m = len(a), len(b)
-    while i < n and j < m:
-        if a[i] == b[j]:  # probe along the shift j - i
+    while i < n:
+        if a[i] == b[j]:  # one to one: probe along the shift j - i
             at, step, most = 1, 2, min(n - i, m - j)
             while at < most and a[i + at:i + at + step] == b[j + at:j + at + step]:
                 at, step = min(at + step, most), 2 * step
-            while step := step // 2:  # the stretch ends in the block before
+            while step := step // 2:  # the stretch ends in the block that differs
                 if at + step <= most and a[i + at:i + at + step] == b[j + at:j + at + step]:
                     at += step
-            yield True, i, i + at, j, j + at
+            left.extend(range(i, i + at))
+            right.extend(range(j, j + at))
+            groups.extend(map("|".join, zip(names_a[i:i + at], names_b[j:j + at])))
             i, j = i + at, j + at
-        else:
+        else:  # an irregular group: each step goes on to the next two tokens that overlap
             p, q = i, j
-            while a[p] != b[q]:
-                if a[p] < b[q]:
+            x, y = a[p], b[q]
+            while x != y:
+                left.append(p)
+                right.append(q)
+                if x < y:
                     p += 1
+                    x = a[p]
                 else:
                     q += 1
-            yield False, i, p + 1, j, q + 1
+                    y = b[q]
+            left.append(p)
+            right.append(q)
+            groups.append(",".join(names_a[i:p + 1]) + "|" + ",".join(names_b[j:q + 1]))
             i, j = p + 1, q + 1
-
-
-class Aligned:
-    """Groups and links of one text's tokens: token ``left[k]`` is linked to ``right[k]``;
-    ``groups`` is ``a1,a2|b1;a3|b2,b3`` in ids."""
-
-    def __init__(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: list[int], ends_b: list[int]):
-        left, right, groups = [], [], []
-        names_a, names_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        self.n_groups = 0
-        for one_to_one, i, to, j, q in diagonal_runs(ends_a, ends_b):
-            if one_to_one:
-                left.append(range(i, to))
-                right.append(range(j, q))
-                groups.extend(map("|".join, zip(names_a[i:to], names_b[j:q])))
-                self.n_groups += to - i
-            else:
-                p, r, some_a, some_b = i, j, [], []
-                while p < to and r < q:  # tokens of a group that overlap
-                    some_a.append(p)
-                    some_b.append(r)
-                    x, y = ends_a[p], ends_b[r]
-                    p, r = p + (x <= y), r + (y <= x)
-                left.append(some_a)
-                right.append(some_b)
-                groups.append(",".join(names_a[i:to]) + "|" + ",".join(names_b[j:q]))
-                self.n_groups += 1
-        flat = lambda rows: np.fromiter((x for r in rows for x in r), np.int64, sum(map(len, rows)))
-        self.left, self.right = flat(left), flat(right)
-        self.groups = ";".join(groups)
+    return Aligned(left, right, groups)
 
 
 ALIGNED = ("n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -108,8 +93,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
 
         block = TaskContext.get().partitionId() << 32
         enc_a, enc_b = encoder(path_a, plain=True), encoder(path_b)
-        spell_a, spell_b = enc_a.spellings(), enc_b.spellings()
-        size_a, size_b = (np.array([len(s) for s in x]) for x in (spell_a, spell_b))
+        side_a, side_b = _Side(enc_a.spellings()), _Side(enc_b.spellings())
         for batch in batches:
             texts = pc.fill_null(batch.column(len(keep)), "")
             for lo, hi in slices_by_bytes(texts, block_bytes):
@@ -118,7 +102,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
                 rows = []
                 for k, text in enumerate(part):
                     ids_a, ids_b = a.ids[a.start[k]:a.stop[k]], b.ids[b.start[k]:b.stop[k]]
-                    rows.append(_row(text.as_py(), ids_a, ids_b, spell_a, spell_b, size_a, size_b))
+                    rows.append(_row(text.as_py(), ids_a, ids_b, side_a, side_b))
                 block += 1
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -141,20 +125,35 @@ def _lists(rows, kind: pa.DataType) -> pa.Array:
 NONE = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _row(text: str, ids_a, ids_b, spell_a, spell_b, size_a, size_b):
+class _Side:
+    """Bytes, their number and the decimal of every id of a vocabulary."""
+
+    def __init__(self, spellings: list[bytes]):
+        self.spellings = spellings
+        self.size = np.array([len(s) for s in spellings])
+        self.names = [str(k) for k in range(len(spellings))]
+
+    def ends(self, ids: list[int], data: bytes) -> list[int] | None:
+        """End offsets of tokens that spell ``data``."""
+        if b"".join(map(self.spellings.__getitem__, ids)) != data:
+            return None
+        return np.cumsum(self.size[ids]).tolist()
+
+
+def _row(text: str, ids_a: np.ndarray, ids_b: np.ndarray, side_a: _Side, side_b: _Side):
     if not text:
         return NONE
-    data = b" " + text.encode()
-    ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-    if not len(ids_a) or not len(ids_b) or not ends_a[-1] == ends_b[-1] == len(data):
-        return NONE
-    if any(b"".join(map(s.__getitem__, i.tolist())) != data for s, i in ((spell_a, ids_a), (spell_b, ids_b))):
+    data, some_a, some_b = b" " + text.encode(), ids_a.tolist(), ids_b.tolist()
+    ends_a, ends_b = side_a.ends(some_a, data), side_b.ends(some_b, data)
+    if ends_a is None or ends_b is None:
         return NONE
-    got = Aligned(ids_a, ids_b, ends_a.tolist(), ends_b.tolist())
-    pairs, times = np.unique(ids_a[got.left].astype(np.int64) << 32 | ids_b[got.right].astype(np.int64),
-                             return_counts=True)
-    return (len(ids_a), len(ids_b), got.n_groups, len(got.left),
-            hashlib.sha256(got.groups.encode()).hexdigest(), pairs, times)
+    left, right, groups = diagonal_runs(ends_a, ends_b, list(map(side_a.names.__getitem__, some_a)),
+                                        list(map(side_b.names.__getitem__, some_b)))
+    pairs = ids_a[left].astype(np.int64) << 32 | ids_b[right].astype(np.int64)
+    pairs.sort()
+    first = np.nonzero(np.diff(pairs, prepend=-1))[0]
+    return (len(some_a), len(some_b), len(groups), len(left), hashlib.sha256(";".join(groups).encode()).hexdigest(),
+            pairs[first], np.diff(first, append=len(pairs)))
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

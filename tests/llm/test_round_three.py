@@ -167,11 +167,15 @@ def test_runs_and_links_of_random_ends():
         a, b = (sorted({n} | {k for k in range(1, n) if rng.random() < p}) for p in rng.choices([.2, .5, .8, .95, 1], k=2))
         if rng.random() < .5:
             b = sorted(set(a) ^ {k for k in range(1, n) if rng.random() < .05} | {n})
-        got = alignment.Aligned(np.arange(len(a)), np.arange(len(b)), a, b)
+        got = alignment.diagonal_runs(a, b, [str(k) for k in range(len(a))], [str(k) for k in range(len(b))])
         sa, sb = list(zip([0] + a, a)), list(zip([0] + b, b))
-        assert sorted(zip(got.left.tolist(), got.right.tolist())) == [
+        assert list(zip(got.left, got.right)) == [
             (i, j) for i, (p, q) in enumerate(sa) for j, (r, s) in enumerate(sb) if max(p, r) < min(q, s)]
-        assert got.n_groups == len(set(a) & set(b))
+        ends, lo, want = sorted(set(a) & set(b)), 0, []
+        for c in ends:
+            want.append("|".join(",".join(str(i) for i, (x, _) in enumerate(s) if lo <= x < c) for s in (sa, sb)))
+            lo = c
+        assert got.groups == want
 
 
 # ---------------------------------------------------------------- 13
