@@ -45,6 +45,11 @@ def slices_by_bytes(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int
         yield at, len(size)
 
 
+def release() -> None:
+    """Give memory that a partition used back, as workers live on."""
+    pa.default_memory_pool().release_unused()
+
+
 class _Encoder:
     odd: str  # texts in which not every space is a safe cut
     safe: re.Pattern  # the cuts of those

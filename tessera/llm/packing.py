@@ -18,8 +18,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .batchtokens import encoder, release, slices_by_bytes
 from .common import pin, shards_for
-from .tokencount import vocabulary
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -36,26 +36,30 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text_co
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = vocabulary(path)
+        tok = encoder(path)
         for batch in batches:
-            row, piece, start, length, crc = [], [], [], [], []
-            for r, text in enumerate(batch.column(len(keep))):
-                ids = memoryview(tok.encode(text.as_py() or "") + end)
-                n = len(ids) // 4
-                at, to = 0, n if n <= capacity else n % capacity or capacity
-                k = 0
-                while at < n:
-                    row.append(r)
-                    piece.append(k)
-                    start.append(at)
-                    length.append(to - at)
-                    crc.append(zlib.crc32(ids[4 * at:4 * to]))
-                    at, to, k = to, to + capacity, k + 1
-            take = pa.array(row, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(take) for i in range(len(keep))), pa.array(piece, pa.int32()),
-                 pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                [*keep, "piece", "start", "length", "ids_crc32"])
+            texts = batch.column(len(keep))
+            for lo, hi in slices_by_bytes(texts):
+                row, piece, start, length, crc = [], [], [], [], []
+                found = tok.encode(texts.slice(lo, hi - lo))
+                for r, (a, b) in enumerate(zip(found.start.tolist(), found.stop.tolist())):
+                    ids = memoryview(found.ids[a:b].astype("<u4").tobytes() + end)
+                    n = len(ids) // 4
+                    at, to = 0, n if n <= capacity else n % capacity or capacity
+                    k = 0
+                    while at < n:
+                        row.append(lo + r)
+                        piece.append(k)
+                        start.append(at)
+                        length.append(to - at)
+                        crc.append(zlib.crc32(ids[4 * at:4 * to]))
+                        at, to, k = to, to + capacity, k + 1
+                take = pa.array(row, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).take(take) for i in range(len(keep))), pa.array(piece, pa.int32()),
+                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                    [*keep, "piece", "start", "length", "ids_crc32"])
+        release()
 
     src = docs.select(*keep, text_col)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), PIECE])
