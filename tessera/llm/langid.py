@@ -9,6 +9,7 @@ prediction both are multiplied out to one weight per bucket and language.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,10 +47,13 @@ def ngrams(text: str, bits: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """weights: (buckets, languages) float32; scores under ``reject`` are rejected."""
+    """Logits are the mean of the rows of ``weights`` times ``lin``: (buckets, languages)
+    with the layers multiplied out, or (buckets, dim) where languages are more than
+    that.  Scores under ``reject`` are rejected."""
 
     langs: list[str]
     weights: np.ndarray
+    lin: np.ndarray
     bias: np.ndarray
     heat: float
     reject: float
@@ -57,10 +61,10 @@ class Model:
 
     def logits(self, text: str) -> np.ndarray:
         g = ngrams(text, self.bits)
-        total = np.zeros(len(self.langs))
+        total = np.zeros(self.weights.shape[1])
         for at in range(0, len(g), 1 << 16):  # long texts in slices
             total += self.weights[g[at:at + (1 << 16)]].sum(0, dtype=np.float64)
-        return total / max(1, len(g)) + self.bias
+        return total / max(1, len(g)) @ self.lin + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs or not has_letter(text):
@@ -79,7 +83,7 @@ def fit(texts: list[str], labels: list[str], bits: int = 15, dim: int = 16, epoc
     score under which ``clean_lost`` of the whole texts fall (0.5 at most)."""
     langs = sorted(set(labels))
     if not langs:
-        return Model([], np.zeros((1 << bits, 0), np.float32), np.zeros(0), 1.0, 0.5, bits)
+        return Model([], np.zeros((1 << bits, 0), np.float32), np.zeros((0, 0)), np.zeros(0), 1.0, 0.5, bits)
     rng = np.random.default_rng(seed)
     size, n = 1 << bits, len(langs)
     emb = rng.normal(0, 1 / dim, (size, dim)).astype(np.float32)
@@ -95,7 +99,10 @@ def fit(texts: list[str], labels: list[str], bits: int = 15, dim: int = 16, epoc
         g, c = np.unique(ngrams(text, bits), return_counts=True)
         return g, (c / max(1, c.sum())).astype(np.float32), langs.index(label)
 
-    hold = np.arange(len(texts)) % 5 == 4
+    hold, seen = [], Counter()  # each fifth text of a language is held back
+    for y in labels:
+        seen[y] += 1
+        hold.append(seen[y] % 5 == 0)
     shown = [example(t, y) for t, y, h in zip(texts, labels, hold) if not h]
     shown += [example(window(t), y) for t, y, h in zip(texts, labels, hold) if not h]
     # each language has the same part in the loss
@@ -118,7 +125,8 @@ def fit(texts: list[str], labels: list[str], bits: int = 15, dim: int = 16, epoc
             lin -= lr * np.outer(hidden, p)
             bias -= 0.1 * lr * p
             emb[g] -= (lr * len(g) * 0.05) * w[:, None] * back
-    model = Model(langs, (emb @ lin).astype(np.float32), bias.astype(np.float64), 1.0, 0.5, bits)
+    layers = ((emb @ lin).astype(np.float32), np.eye(n)) if n <= dim else (emb, lin.astype(np.float64))
+    model = Model(langs, *layers, bias.astype(np.float64), 1.0, 0.5, bits)
     held = [(t, langs.index(y)) for t, y, h in zip(texts, labels, hold) if h and has_letter(t)]
     if held:
         whole = np.array([model.logits(t) for t, _ in held])
@@ -142,20 +150,37 @@ def is_held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_lang: int = 1200, max_bytes: int = 65536) -> Model:
-    """Fit on a bounded sample: labelled documents that are not held out, of up to
-    ``max_bytes`` (longer ones are not sampled), by a hash of the id so that about
-    ``per_lang`` of each language come, and no more than twice as many in all."""
-    rows = docs.where(F.col(lang_col).isNotNull() & ~is_held_out(id_col)
-                      & F.col(text_col).isNotNull()).select(id_col, F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()
+          per_lang: int = 1200, most_rows: int = 12_000, most_chars: int = 24_000_000,
+          most_langs: int = 10_000) -> Model:
+    """Fit on a bounded sample of the labelled documents that are not held out.
+
+    Documents are drawn by a hash of the id, about ``per_lang`` of each language, or
+    fewer where ``most_rows`` are shared by many languages, but of every language one
+    at least: none is left out.  Of texts longer than ``most_chars`` over the number of
+    rows expected, a window at a hashed place is taken, so long documents are learned
+    like others.  At most ``2 * most_rows`` + ``most_langs`` rows and about 2 *
+    ``most_chars`` characters (under 200 MB in UTF-8) reach the driver.
+
+    Null labels and texts are not sampled; null ids count as not held out.  Repeated
+    rows come once.  An empty table, or one without labels, gives a model that says
+    ``und``.  More than ``most_langs`` labels are an error.  Other columns are not read.
+    """
+    draw = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = docs.where(F.col(lang_col).isNotNull() & ~is_held_out(id_col) & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).withColumn("draw", draw)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).limit(most_langs + 1).collect()
     if not counts:
         return fit([], [])
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(per_lang / r["count"]))])
-    draw = F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.withColumn("draw", draw).where(
-        (F.col("draw") < share[F.col("lang")]) & (F.octet_length("text") <= max_bytes))
-    got = sample.orderBy("draw", "text").limit(2 * per_lang * len(counts)).select("text", "lang").toPandas()
+    if len(counts) > most_langs:
+        raise ValueError(f"more than {most_langs} labels")
+    per = min(per_lang, most_rows / len(counts))
+    chars = int(most_chars / sum(max(1, min(per, r["n"])) for r in counts))
+    bounds = docs.sparkSession.createDataFrame(
+        [(r["lang"], max(per / r["n"], r["least"])) for r in counts], "lang string, bound double")
+    at = F.pmod(F.xxhash64("id", F.lit(4)), F.greatest(F.char_length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    sample = rows.join(F.broadcast(bounds), "lang").where("draw <= bound").select(  # most_langs short rows
+        "lang", (F.col("draw") / F.col("bound")).alias("order"), F.substring("text", at, F.lit(chars)).alias("text")).distinct()
+    got = sample.orderBy("order", "lang", "text").limit(2 * most_rows + most_langs).select("text", "lang").toPandas()
     return fit(got["text"].tolist(), got["lang"].tolist())
 
 

@@ -211,6 +211,21 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in langid.predict(df, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(rng.choice(["lumo", "sel", "kanta"], 30)), "aa") for k in range(200)]
+    rows += [(1000 + k, " ".join(rng.choice(["zwei", "strass", "krantz"], 15_000)), "bb") for k in range(40)]  # long ones only
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["aa", "bb"] and model.predict("krantz zwei strass")[0] == "bb"
+    many = [(k, f"w{k} text{k % 7}", f"l{k % 1500:04}") for k in range(6000)]  # four of a language, crc32 holds some back
+    df = spark.createDataFrame(many + [many[0]] * 50, "doc_id long, text string, lang string")
+    shown = {r[0] for r in df.where(~langid.is_held_out("doc_id")).select("lang").distinct().collect()}
+    model = langid.train(df, most_rows=1500)
+    assert set(model.langs) == shown and model.predict("any text")[0] in shown
+    with pytest.raises(ValueError):
+        langid.train(df, most_langs=100)
+
+
 # ---------------------------------------------------------------- 4
 
 BASE = [("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
