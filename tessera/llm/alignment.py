@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .batchtokens import encoder, slices_by_bytes
+from .batchtokens import encoder, release, slices_by_bytes
 from .common import pin
 
 class Aligned(NamedTuple):
@@ -110,6 +110,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
                      *(pa.array(cols[c], pa.int64()) for c in range(4)), pa.array(cols[4], pa.string()),
                      _lists(cols[5], pa.int64()), _lists(cols[6], pa.int32()),
                      pa.array(np.full(hi - lo, block))], [*keep, *[c.split()[0] for c in ALIGNED.split(", ")]])
+        release()
 
     src = docs.select(*keep, text_col)
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
