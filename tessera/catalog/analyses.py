@@ -22,7 +22,7 @@ from ..plans import cut_lineage
 from ..sources import standins as S
 from .core import _CTR_SQL
 from .registry import register
-from .sqlparts import LINK_CTE, LOGS_CTE, tokens_expr
+from .sqlparts import LINK_CTE, LOGS_CTE, jacobi_cte, tokens_expr
 
 
 def _r4(c):
@@ -601,13 +601,38 @@ def reg_residual_bands(spark, sf):
     return RG.residual_bands(p, rmse)
 
 
-@register("reg_cv_linear")
+# Folds by key, and the penalties tried.
+_FOLDS, _REGS = 3, [round(0.01 * i, 2) for i in range(1, 11)]
+
+
+def _fold():
+    return (F.col("key") % _FOLDS).cast("int")
+
+
+# as _RIDGE_CTE, for every fold left out and every penalty; errors over the fold's own rows
+_CV_RIDGE_SQL = f"""
+WITH s AS (SELECT *, l_orderkey * 8 + l_linenumber AS key FROM lineitem),
+tr AS (SELECT l_quantity AS x1, l_discount AS x2, l_tax AS x3, l_extendedprice AS y, key % {_FOLDS} AS f
+       FROM s WHERE (key * 7919 + 13) % 100 < 80),
+m AS (SELECT k.f, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2,
+             stddev_pop(x3) AS s3, stddev_pop(y) AS sy, corr(x1, x2) AS p, corr(x1, x3) AS q, corr(x2, x3) AS r,
+             corr(x1, y) AS c1, corr(x2, y) AS c2, corr(x3, y) AS c3
+      FROM (SELECT DISTINCT f FROM tr) k JOIN tr ON tr.f <> k.f GROUP BY k.f),
+a AS (SELECT *, 1 + reg / sy AS a FROM m, (SELECT unnest([{", ".join(f"{r}::DOUBLE" for r in _REGS)}]) AS reg)),
+d AS (SELECT *, a * (a * a - r * r) - p * (p * a - r * q) + q * (p * r - a * q) AS det FROM a),
+g AS (SELECT *, (c1 * (a * a - r * r) - p * (c2 * a - r * c3) + q * (c2 * r - a * c3)) / det * sy / s1 AS w1,
+             (a * (c2 * a - r * c3) - c1 * (p * a - r * q) + q * (p * c3 - c2 * q)) / det * sy / s2 AS w2,
+             (a * (a * c3 - c2 * r) - p * (p * c3 - c2 * q) + c1 * (p * r - a * q)) / det * sy / s3 AS w3 FROM d),
+e AS (SELECT reg, g.f, sqrt(avg((y - (my + w1 * (x1 - m1) + w2 * (x2 - m2) + w3 * (x3 - m3))) ^ 2)) AS rmse
+      FROM tr JOIN g ON tr.f = g.f GROUP BY reg, g.f)
+SELECT reg AS reg_param, round(avg(rmse), 4) AS cv_rmse FROM e GROUP BY reg"""
+
+
+@register("reg_cv_linear", _CV_RIDGE_SQL)
 def reg_cv_linear(spark, sf):
     tr, _ = _power_split(spark, sf)
-    cv = RG.cv_linear(tr, REG_COLS)
-    regs = [pm[list(pm)[0]] for pm in cv.getEstimatorParamMaps()]
-    return spark.createDataFrame([(float(r), float(m)) for r, m in zip(regs, cv.avgMetrics)],
-                                 "reg_param double, cv_rmse double")
+    rows, _ = RG.cv_ridge(tr, REG_COLS, _fold(), _REGS)
+    return spark.createDataFrame([(r, round(e, 4)) for r, e in rows], "reg_param double, cv_rmse double")
 
 
 @register("reg_tree")
@@ -626,13 +651,13 @@ def reg_forest(spark, sf):
 
 @register("reg_compare")
 def reg_compare(spark, sf):
+    """The models of least cross-validated error, on the test part."""
     tr, te = _power_split(spark, sf)
-    lin = RG.linear_pipeline(REG_COLS).fit(tr)
-    out = None
-    for name, model in (("linear", lin), ("tree", RG.cv_tree(tr, REG_COLS).bestModel),
-                        ("forest", RG.cv_forest(tr, REG_COLS).bestModel)):
-        m = RG.rmse_r2(model.transform(te)).withColumn("model", F.lit(name))
-        out = m if out is None else out.unionByName(m)
+    rows, moments = RG.cv_ridge(tr, REG_COLS, _fold(), _REGS)
+    intercept, weights = moments.ridge(min(rows, key=lambda r: r[1])[0])
+    out = RG.rmse_r2(RG.with_line(te, REG_COLS, intercept, weights)).withColumn("model", F.lit("linear"))
+    for name, cv in (("tree", RG.cv_tree), ("forest", RG.cv_forest)):
+        out = out.unionByName(RG.rmse_r2(cv(tr, REG_COLS).bestModel.transform(te)).withColumn("model", F.lit(name)))
     return out
 
 
@@ -1001,16 +1026,29 @@ def pca_covariance(spark, sf):
     return cov.withColumn("cov", F.round("cov", 6))
 
 
-@register("pca_components")
+def _eigen_sql(select: str, dims: int = 64, series: str = _SERIES_LONG) -> str:
+    """``select`` over the eigenpairs (eig, vec) of the covariance of the long series x."""
+    return series.replace("WITH x", "WITH RECURSIVE x", 1) + """
+, cov AS (SELECT a.pos AS i, b.pos AS j, covar_pop(a.v, b.v) AS v
+          FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.pos, b.pos),""" + jacobi_cte(dims) + select
+
+
+@register("pca_components", _eigen_sql("""
+SELECT rank::INTEGER AS component, round(value, 8) AS eigenvalue, pos::INTEGER AS pos, round(x, 6) AS entry
+FROM vec JOIN eig USING (rank) WHERE rank < 3"""))
 def pca_components(spark, sf):
-    _, _, _, comps = PC.pca(S.series(spark, sf), 3)
-    return comps
+    _, vals, vecs, _ = PC.leading(S.series(spark, sf), 3)
+    comps = PC.components_frame(spark, vals, vecs, 3)
+    return comps.select("component", F.round("eigenvalue", 8).alias("eigenvalue"),
+                        F.posexplode("vector").alias("pos", "entry")).withColumn("entry", F.round("entry", 6))
 
 
-@register("pca_eigenvalues")
+@register("pca_eigenvalues", _eigen_sql("""
+SELECT rank::INTEGER AS rank, round(value, 8) AS eigenvalue FROM eig"""))
 def pca_eigenvalues(spark, sf):
-    _, vals, _, _ = PC.pca(S.series(spark, sf), 1)
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "rank int, eigenvalue double")
+    s = S.series(spark, sf)
+    _, vals, _, _ = PC.leading(s, 64)
+    return spark.createDataFrame([(i, round(float(v), 8)) for i, v in enumerate(vals)], "rank int, eigenvalue double")
 
 
 def _fixed_components(d: int = 64):
@@ -1030,10 +1068,14 @@ def pca_scores(spark, sf):
                      F.round(F.col("scores")[1], 6).alias("score1"))
 
 
-@register("pca_variance_explained")
+@register("pca_variance_explained", _eigen_sql("""
+SELECT k::INTEGER AS k, round(sum(value) FILTER (rank < k) / sum(value), 6) AS explained
+FROM eig, (SELECT unnest([1, 2, 3, 5, 10]) AS k) GROUP BY k"""))
 def pca_variance_explained(spark, sf):
-    _, vals, _, _ = PC.pca(S.series(spark, sf), 1)
-    return spark.createDataFrame([(k, PC.variance_explained(vals, k)) for k in (1, 2, 3, 5, 10)],
+    s = S.series(spark, sf)
+    mean, vals, _, _ = PC.leading(s, 10)
+    total = PC.total_variance(s, mean)
+    return spark.createDataFrame([(k, round(PC.variance_explained(vals, k, total), 6)) for k in (1, 2, 3, 5, 10)],
                                  "k int, explained double")
 
 
@@ -1081,13 +1123,22 @@ def ts_fold_by_block(spark, sf):
     return f.select("vec_id", F.posexplode("values").alias("pos", "value")).withColumn("value", F.round("value", 6))
 
 
-@register("ts_pca_folded")
+def _folded_sql(name: str, pos: str) -> str:
+    series = f"""
+WITH x AS (SELECT vec_id, {pos} AS pos, sum(CAST(embedding[i] AS DOUBLE)) AS v
+           FROM (SELECT vec_id, embedding, i, i - 1 AS spot FROM embeddings, range(1, 65) r(i)) GROUP BY 1, 2)"""
+    return f"SELECT * FROM ({_eigen_sql(f"""
+SELECT '{name}' AS fold, round(max(value), 8) AS eig0, round(max(value) FILTER (rank = 1), 8) AS eig1,
+       round(sum(value) FILTER (rank < 2) / sum(value), 6) AS explained2 FROM eig""", 16, series)})"
+
+
+@register("ts_pca_folded", _folded_sql("phase", f"spot % {PHASE_PERIOD}") + " UNION ALL " + _folded_sql(
+    "block", f"spot // {BLOCK}"))
 def ts_pca_folded(spark, sf):
-    out = None
+    rows = []
     for name, df in (("phase", PC.fold_phase(S.series(spark, sf), PHASE_PERIOD)),
                      ("block", PC.fold_block(S.series(spark, sf), BLOCK))):
-        _, vals, _, _ = PC.pca(df, 2)
-        r = spark.createDataFrame([(name, float(vals[0]), float(vals[1]), PC.variance_explained(vals, 2))],
-                                  "fold string, eig0 double, eig1 double, explained2 double")
-        out = r if out is None else out.unionByName(r)
-    return out
+        mean, vals, _, _ = PC.leading(df, 2)
+        rows.append((name, *(round(float(v), 8) for v in vals[:2]),
+                     round(PC.variance_explained(vals, 2, PC.total_variance(df, mean)), 6)))
+    return spark.createDataFrame(rows, "fold string, eig0 double, eig1 double, explained2 double")

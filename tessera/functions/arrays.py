@@ -1,6 +1,9 @@
 """Dense-vector arithmetic on ``array<double>`` columns with higher-order functions."""
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 
@@ -79,3 +82,14 @@ def outer_flat(a) -> Column:
     """All d*d pairwise products x_i * x_j, row-major (i outer, j inner)."""
     arr = _c(a)
     return F.flatten(F.transform(arr, lambda x: F.transform(arr, lambda y: x * y)))
+
+
+def as_matrix(arr: pa.Array) -> np.ndarray:
+    """The rows of an Arrow list column as one matrix of doubles."""
+    lengths = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError(f"arrays of {lengths.min()} to {lengths.max()} values in one column")
+    flat = arr.flatten()
+    if flat.null_count:
+        raise ValueError(f"{flat.null_count} null values inside arrays")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(arr), int(lengths[0]))

@@ -13,14 +13,19 @@ def md5_bucket(key, num_buckets: int) -> Column:
     if not 0 < num_buckets < 2 ** 31:
         raise ValueError("num_buckets must be in (0, 2^31)")
     k = F.col(key) if isinstance(key, str) else key
-    h = F.md5(k)
-    mult = F.lit((2 ** 32) % num_buckets).cast("long")
-    m = F.lit(num_buckets).cast("long")
-    r = F.lit(0).cast("long")
-    for i in range(4):
-        chunk = F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")
-        r = F.pmod(r * mult + chunk, m)
-    return r.cast("int")
+    mult, m = (2 ** 32) % num_buckets, F.lit(num_buckets).cast("long")
+
+    def fold(h):
+        # where 2^32 is a multiple of the buckets, only the last chunk counts
+        r = F.lit(0).cast("long")
+        for i in range(4) if mult else (3,):
+            chunk = F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")
+            r = F.pmod(r * F.lit(mult).cast("long") + chunk, m) if mult and i else F.pmod(chunk, m)
+        return r.cast("int")
+
+    if not mult:
+        return fold(F.md5(k))
+    return F.transform(F.array(F.md5(k)), fold)[0]  # the hash is named, so that it is taken once
 
 
 def feature_key(feature_id, category) -> Column:

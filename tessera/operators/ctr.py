@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions.hashing import feature_key, md5_bucket
@@ -56,32 +56,51 @@ def feature_frequency(records: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("n_features")))
 
 
+def bucket_dictionary(records: DataFrame, num_buckets: int) -> DataFrame:
+    """(feature_id, category, bucket, shared): the md5 bucket of every different feature,
+    hashed once each, and whether another feature has the same one.  Written once."""
+    hashed = distinct_features(records).where(F.col("category").isNotNull()).withColumn(
+        "bucket", md5_bucket(feature_key(F.col("feature_id"), F.col("category")), num_buckets))
+    return cut_lineage(hashed.withColumn(
+        "shared", F.count(F.lit(1)).over(Window.partitionBy("bucket")) > 1))
+
+
+def _once(records: DataFrame) -> DataFrame:
+    """(rid, label, feature_id, category): each different feature of a record once; a
+    record without any has one row of nulls."""
+    return records.select(*KEYS, "label", F.explode_outer(F.array_distinct("feats")).alias("f")).select(
+        *KEYS, "label", F.col("f._1").alias("feature_id"), F.col("f._2").alias("category"))
+
+
 def hashed_indices(records: DataFrame, num_buckets: int) -> DataFrame:
-    """(rid, label, indices): the md5 bucket of each different feature of a record,
-    once a feature; computed inside the record's array, without a shuffle."""
-    keys = F.array_distinct(F.transform("feats", lambda f: feature_key(f.getField("_1"), f.getField("_2"))))
-    return records.select(*KEYS, "label", F.transform(keys, lambda k: md5_bucket(k, num_buckets)).alias("indices"))
+    """(rid, label, indices): the md5 bucket of each different feature of a record, once a
+    feature, by the bucket dictionary.  Null categories have none."""
+    buckets = broadcast_pinned(bucket_dictionary(records, num_buckets).drop("shared"))
+    return _once(records).join(buckets, ["feature_id", "category"], "left").groupBy(*KEYS, "label").agg(
+        F.collect_list("bucket").alias("indices"))
 
 
 def hashed_buckets(records: DataFrame, num_buckets: int) -> DataFrame:
-    """(rid, label, bucket, value): md5 bucket counts of each record."""
-    per = hashed_indices(records, num_buckets)
-    counted = F.transform(F.array_distinct("indices"),
-                          lambda b: F.struct(b.alias("bucket"),
-                                             F.size(F.filter("indices", lambda x: x == b)).cast("double")
-                                             .alias("value")))
-    return per.select(*KEYS, "label", F.explode(counted).alias("e")) \
-              .select(*KEYS, "label", F.col("e.bucket").alias("bucket"), F.col("e.value").alias("value"))
+    """(rid, label, bucket, value): md5 bucket counts of each record.
+
+    A bucket that one feature of the dictionary has to itself counts 1 wherever that
+    feature stands, so only features of shared buckets are grouped by record."""
+    buckets = bucket_dictionary(records, num_buckets)
+    side = lambda shared: broadcast_pinned(buckets.where(shared).drop("shared"))
+    each = _once(records)
+    alone = each.join(side(~F.col("shared")), ["feature_id", "category"]).select(
+        *KEYS, "label", "bucket", F.lit(1.0).alias("value"))
+    several = each.join(side(F.col("shared")), ["feature_id", "category"]).groupBy(*KEYS, "label", "bucket").agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    return alone.unionByName(several)
 
 
 def sparsity(records: DataFrame, dictionary_size: int, num_buckets: int) -> DataFrame:
-    """Mean share of non-zero entries: one-hot vs hashed, in one narrow pass
-    (distinct (feature, category) pairs and distinct buckets per record)."""
-    pairs = F.array_distinct(F.transform("feats", lambda f: F.struct(f.getField("_1"), f.getField("_2"))))
-    keys = F.array_distinct(F.transform("feats", lambda f: feature_key(f.getField("_1"), f.getField("_2"))))
-    buckets = F.array_distinct(F.transform(keys, lambda k: md5_bucket(k, num_buckets)))
-    return records.agg(F.avg(F.size(pairs) / F.lit(float(dictionary_size))).alias("ohe_sparsity"),
-                       F.avg(F.size(buckets) / F.lit(float(num_buckets))).alias("hashed_sparsity"))
+    """Mean share of non-zero entries: one-hot vs hashed (different features, and
+    different buckets, of each record)."""
+    filled = hashed_buckets(records, num_buckets).count()
+    return records.agg(F.avg(F.size(F.array_distinct("feats")) / F.lit(float(dictionary_size))).alias("ohe_sparsity"),
+                       (F.lit(float(filled)) / (F.count(F.lit(1)) * F.lit(float(num_buckets)))).alias("hashed_sparsity"))
 
 
 # ------------------------------------------------------------------ models

@@ -1,20 +1,21 @@
 """Linear regression from first principles on ``array<double>`` features.
 
-Gradient descent runs one aggregate query per iteration; the current weights
-enter each query as literals so the plan never grows with the iteration count,
-and the training frame is cached for the loop only.
+Gradient descent reads the rows once: its gradients follow from the products of
+features and label, which packed blocks of rows add up.
 """
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.arrays import dot, outer_flat
+from ..functions.arrays import as_matrix, dot, outer_flat
 from .regression import rmse_r2
 
 FEATURES = ("l_quantity", "l_discount", "l_tax")
@@ -67,28 +68,50 @@ def gradient_summand(points: DataFrame, weights) -> DataFrame:
     return points.withColumn("summand", F.transform("features", lambda x: x * err))
 
 
+def packed_gram(points: DataFrame) -> np.ndarray:
+    """X'X over rows (features, label), from packed blocks: every Arrow batch becomes one
+    matrix, each task adds up one product a batch, and only d + 1 squared sums a task are
+    shuffled.  Rows with null features or label do not count; ragged ones are an error."""
+    def run(batches):
+        total = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([as_matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)])
+            total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())],
+                                             ["i", "j", "s"])
+
+    rows = points.select("features", F.col("label").cast("double").alias("label")).dropna()
+    cells = rows.mapInArrow(run, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+    d = 1 + max((r["i"] for r in cells), default=-1)
+    out = np.zeros((d, d))
+    for r in cells:
+        out[r["i"], r["j"]] = r["s"]
+    return out
+
+
 def gradient_descent(train: DataFrame, iters: int, alpha: float = 1.0):
     """Full-batch descent from w = 0 with step alpha / (n * sqrt(i + 1)).
 
-    Returns (weights, [rmse before each update], [weights after each update])."""
-    train = train.select("label", "features").cache()
-    try:
-        first = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("d")).first()
-        n, d = first["n"], first["d"]
-        w = [0.0] * d
-        errors, history = [], []
-        for i in range(iters):
-            pred = dot("features", _w(w))
-            err = pred - F.col("label")
-            row = train.agg(F.sqrt(F.avg(err * err)).alias("rmse"),
-                            *[F.sum(err * F.col("features")[j]).alias(f"g{j}") for j in range(d)]).first()
-            errors.append(row["rmse"])
-            step = alpha / (n * math.sqrt(i + 1))
-            w = [w[j] - step * row[f"g{j}"] for j in range(d)]
-            history.append(list(w))
-        return w, errors, history
-    finally:
-        train.unpersist()
+    Returns (weights, [rmse before each update], [weights after each update]).  The
+    gradient of the squared error, X'Xw - X'y, and the error itself depend on the rows
+    through the products of (x, y) only, so the rows are read once, however many steps
+    are made."""
+    ones = train.withColumn("features", F.concat(F.array(F.lit(1.0)), "features"))
+    gram = packed_gram(ones)
+    if not len(gram):
+        return [], [], []
+    n, g, c, yy = gram[0, 0], gram[1:-1, 1:-1], gram[1:-1, -1], gram[-1, -1]
+    w = np.zeros(len(c))
+    errors, history = [], []
+    for i in range(iters):
+        errors.append(math.sqrt(max(0.0, w @ g @ w - 2 * (w @ c) + yy) / n))
+        w = w - alpha / (n * math.sqrt(i + 1)) * (g @ w - c)
+        history.append(w.tolist())
+    return w.tolist(), errors, history
 
 
 def two_way(points: DataFrame) -> DataFrame:

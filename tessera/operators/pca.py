@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.arrays import dot, fold_by_block, fold_by_phase, fractional_change, subtract
+from ..functions.arrays import as_matrix, dot, fold_by_block, fold_by_phase, fractional_change, subtract
 
 _GRAM_SCHEMA = "i int, j int, s double, n long"
 
@@ -34,21 +33,11 @@ def _means_and_count(df: DataFrame, col: str) -> tuple[list[float], int]:
     return [r["s"] / n for r in rows], n
 
 
-def _matrix(arr: pa.Array) -> np.ndarray:
-    lengths = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
-    if (lengths != lengths[0]).any():
-        raise ValueError(f"arrays of {lengths.min()} to {lengths.max()} values in one column")
-    flat = arr.flatten()
-    if flat.null_count:
-        raise ValueError(f"{flat.null_count} null values inside arrays")
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(arr), int(lengths[0]))
-
-
 def _sums(col: str):
     def run(batches):
         for b in batches:
             if b.num_rows:
-                x = _matrix(b.column(col))
+                x = as_matrix(b.column(col))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(x.shape[1]), pa.int32()), pa.array(x.sum(0)),
                      pa.array(np.full(x.shape[1], len(x)), pa.int64())], names=["pos", "s", "n"])
@@ -66,7 +55,7 @@ def _gram_batches(col: str):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _matrix(b.column(col))
+            x = as_matrix(b.column(col))
             g = x.T @ x if g is None else g + x.T @ x
             n += len(x)
         if g is None:
@@ -87,6 +76,81 @@ def covariance(centred: DataFrame, col: str = "values") -> DataFrame:
     return parts.groupBy("i", "j").agg((F.sum("s") / F.sum("n")).alias("cov"))
 
 
+def _spread_batches(col: str, mean: np.ndarray, block: np.ndarray):
+    def run(batches):
+        total = None
+        for b in batches:
+            if b.num_rows:
+                x = as_matrix(b.column(col)) - mean
+                y = x.T @ (x @ block)
+                total = y if total is None else total + y
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "s"])
+    return run
+
+
+def spread(df: DataFrame, mean, n: int, block: np.ndarray, col: str = "values") -> np.ndarray:
+    """Covariance times ``block`` (d x b) in one pass, X'(X block) / n of centred rows: a
+    task holds and sends d x b sums, never the d x d covariance."""
+    rows = df.where(F.col(col).isNotNull()).select(col)
+    out = np.zeros(block.shape)
+    for r in rows.mapInArrow(_spread_batches(col, np.array(mean), block), "i int, j int, s double").groupBy(
+            "i", "j").agg(F.sum("s").alias("s")).collect():
+        out[r["i"], r["j"]] = r["s"] / n
+    return out
+
+
+def leading(df: DataFrame, k: int, col: str = "values", width: int = 16, tol: float = 1e-11, most: int = 100,
+            seed: int = 11):
+    """(mean, the ``k`` largest eigenvalues of the covariance, their unit vectors as
+    columns, n) by blocked iteration over the rows.
+
+    Each pass multiplies a block of ``width`` orthonormal directions by the covariance;
+    directions already tried are kept, and Rayleigh-Ritz over all of them gives the
+    components, until every residual is under ``tol`` of the largest eigenvalue.  The
+    driver holds d x (passes * width) numbers; rows and cells of the covariance stay in
+    the tasks.  With fewer dimensions than ``passes * width`` the result is exact.  The
+    sign makes the entry of largest magnitude positive."""
+    mean, n = _means_and_count(df, col)
+    d = len(mean)
+    k = min(k, d)
+    rng = np.random.default_rng(seed)
+    basis, image = np.zeros((d, 0)), np.zeros((d, 0))
+    block = np.linalg.qr(rng.normal(size=(d, min(d, max(width, 1)))))[0] if d else basis
+    for _ in range(most):
+        basis = np.hstack([basis, block])
+        image = np.hstack([image, spread(df, mean, n, block, col)])
+        small = basis.T @ image
+        vals, inner = np.linalg.eigh((small + small.T) / 2)
+        vals, inner = vals[::-1][:k], inner[:, ::-1][:, :k]
+        vecs = basis @ inner
+        rest = image @ inner - vecs * vals
+        if basis.shape[1] == d or (len(vals) == k and np.abs(rest).max(initial=0.0) <= tol * vals[0]):
+            break
+        # what the newest directions lead to beyond those known, orthonormal to all of them
+        block = image[:, -block.shape[1]:]
+        for _ in range(2):
+            block = block - basis @ (basis.T @ block)
+        u, size, _ = np.linalg.svd(block, full_matrices=False)
+        block = u[:, size > 1e-10 * max(vals[0], 1e-300)][:, :d - basis.shape[1]]
+        if not block.shape[1]:  # an invariant subspace: look beside it
+            block = rng.normal(size=(d, min(width, d - basis.shape[1])))
+        for _ in range(2):
+            block = np.linalg.qr(block - basis @ (basis.T @ block))[0]
+    for c in range(len(vals)):
+        if vecs[np.argmax(np.abs(vecs[:, c])), c] < 0:
+            vecs[:, c] = -vecs[:, c]
+    return mean, vals, vecs, n
+
+
+def total_variance(df: DataFrame, mean, col: str = "values") -> float:
+    """The trace of the covariance: mean squared distance from ``mean``."""
+    off = subtract(col, F.array(*[F.lit(float(m)) for m in mean]))
+    return float(df.where(F.col(col).isNotNull()).agg(F.avg(dot(off, off))).first()[0] or 0.0)
+
+
 def eigen(cov: DataFrame):
     """Eigenvalues (descending) and unit eigenvectors (columns), sign fixed so
     the largest-magnitude entry of each vector is positive."""
@@ -115,8 +179,8 @@ def scores(df: DataFrame, vectors, col: str = "values") -> DataFrame:
                                              for v in vectors]))
 
 
-def variance_explained(vals, k: int) -> float:
-    return float(np.sum(vals[:k]) / np.sum(vals))
+def variance_explained(vals, k: int, total: float | None = None) -> float:
+    return float(np.sum(vals[:k]) / (np.sum(vals) if total is None else total))
 
 
 def project_line(df: DataFrame, mean, v, col: str = "values") -> DataFrame:
