@@ -855,10 +855,8 @@ def udf_vector(spark, sf):
     tr, _, _ = _ctr_split(spark, sf)
     d = CT.ohe_dictionary(tr)
     v = CT.ohe_encode(tr, d).withColumn("v", CT.to_vector("indices", F.lit(d.count())))
-    # read back on the JVM: the vector's own parts
-    dense = vector_to_array("v")
-    places = F.filter(F.sequence(F.lit(0), F.size(dense) - 1), lambda i: F.element_at(dense, i + 1) != 0)
-    return v.select("label", F.size(dense).cast("long").alias("size"), F.array_join(places, ",").alias("indices"))
+    places = F.transform(F.filter(F.arrays_zip("v.indices", "v.values"), lambda e: e["values"] != 0), lambda e: e["indices"])
+    return v.select("label", F.col("v.size").cast("long").alias("size"), F.array_join(places, ",").alias("indices"))
 
 
 @register("udf_array_int", _CTR_SPLIT + """
@@ -867,8 +865,8 @@ FROM train JOIN dict USING (feature_id, category) GROUP BY rid, label""")
 def udf_array_int(spark, sf):
     tr, _, _ = _ctr_split(spark, sf)
     d = CT.ohe_dictionary(tr)
-    v = CT.sparse_vectors(CT.ohe_encode(tr, d), d.count())
-    return v.select("label", F.array_join(CT.nonzero("features"), ",").alias("indices"))
+    v = CT.ohe_encode(tr, d).withColumn("v", CT.to_vector("indices", F.lit(d.count())))
+    return v.select("label", F.array_join(CT.nonzero("v"), ",").alias("indices"))
 
 
 def _ohe_model(tr):

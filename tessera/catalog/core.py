@@ -648,8 +648,8 @@ def agg_rdd_stats(spark, sf):
 SELECT i - 1 AS pos, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean, round(sum(CAST(embedding[i] AS DOUBLE)), 4) AS total
 FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY i""")
 def agg_array_elements(spark, sf):
-    e = S.series(spark, sf).select(F.posexplode("values").alias("pos", "x"))
-    return e.groupBy("pos").agg(F.round(F.avg("x"), 6).alias("mean"), _r4(F.sum("x")).alias("total"))
+    e = R.element_sums(_t(spark, sf, "embeddings"), "embedding")
+    return e.select("pos", F.round(F.col("total") / F.col("n"), 6).alias("mean"), _r4(F.col("total")).alias("total"))
 
 
 @register("agg_array_sizes", "SELECT sum(len(string_split(text, ' ')))::BIGINT AS n_pieces FROM documents")
@@ -1020,26 +1020,30 @@ def rdd_map_values(spark, sf):
 @register("udtf_flatmap", """
 SELECT item_id, unnest(string_split(text, ' ')) AS piece FROM benchmark""")
 def udtf_flatmap(spark, sf):
-    from pyspark.sql.functions import udtf
+    from collections.abc import Iterator
 
-    @udtf(returnType="piece: string")
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.functions import arrow_udtf
+
+    @arrow_udtf(returnType="item_id bigint, piece string")
     class Pieces:
-        def eval(self, text: str):
-            if text is not None:
-                for p in text.split(" "):
-                    yield (p,)
+        def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:  # whole batches; null texts give nothing
+            parts = pc.split_pattern(rows.column("text"), " ")
+            yield pa.table({"item_id": rows.column("item_id").take(pc.list_parent_indices(parts)),
+                            "piece": pc.list_flatten(parts)})
 
     spark.udtf.register("tessera_pieces", Pieces)
-    return spark.sql("SELECT b.item_id, p.piece FROM {benchmark} b, LATERAL tessera_pieces(b.text) p",
-                     benchmark=_t(spark, sf, "benchmark"))
+    return spark.sql("SELECT * FROM tessera_pieces(TABLE({benchmark}))",
+                     benchmark=_t(spark, sf, "benchmark").select("item_id", "text"))
 
 
 @register("udaf_accumulator", """
 SELECT label, i - 1 AS pos, round(sum(CAST(embedding[i] AS DOUBLE)), 4) AS total
 FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY label, i""")
 def udaf_accumulator(spark, sf):
-    e = S.series(spark, sf).select("label", F.posexplode("values").alias("pos", "x"))
-    return e.groupBy("label", "pos").agg(_r4(F.sum("x")).alias("total"))
+    e = R.element_sums(_t(spark, sf, "embeddings"), "embedding", "label")
+    return e.select("label", "pos", _r4(F.col("total")).alias("total"))
 
 
 # =========================================================== 2.10 catalog

@@ -6,11 +6,12 @@ Records carry a unique ``rid``, ``label`` and
 """
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.hashing import feature_key, md5_bucket
 from ..functions.ml import log_loss, sigmoid_clamped
@@ -114,17 +115,32 @@ def sparse_vectors(encoded: DataFrame, size: int) -> DataFrame:
     return numbers.transform(words).drop("_numbers")
 
 
-@F.udf(VectorUDT())
-def to_vector(indices, size):
-    """User function: sorted indices -> sparse vector of ones."""
-    return Vectors.sparse(size, [int(i) for i in indices], [1.0] * len(indices))
+VECTOR = T.StructType([T.StructField("size", T.IntegerType()), T.StructField("indices", T.ArrayType(T.IntegerType())),
+                       T.StructField("values", T.ArrayType(T.DoubleType()))])
 
 
-@F.udf(ArrayType(IntegerType()))
-def nonzero(vector):
+def _lists(size: np.ndarray, flat: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), flat)
+
+
+@F.arrow_udf(VECTOR)
+def to_vector(indices: pa.Array, size: pa.Array) -> pa.Array:
+    """User function: sorted indices -> sparse vector of ones, as its three parts.
+    Whole Arrow columns are handed on; nothing has the size of the dictionary."""
+    n = pc.fill_null(pc.list_value_length(indices), 0).to_numpy(zero_copy_only=False)
+    places = indices.flatten().cast(pa.int32())
+    return pa.StructArray.from_arrays([size.cast(pa.int32()), _lists(n, places), _lists(n, pa.array(np.ones(len(places))))],
+                                      ["size", "indices", "values"])
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def nonzero(vector: pa.Array) -> pa.Array:
     """User function: vector -> places that are not zero."""
-    return [int(i) for i, v in zip(vector.indices, vector.values) if v] if hasattr(vector, "indices") else [
-        i for i, v in enumerate(vector.toArray()) if v]
+    places, values = vector.field("indices"), vector.field("values").flatten().to_numpy(zero_copy_only=False)
+    n = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
+    keep = values != 0
+    of = np.repeat(np.arange(len(n)), n)[keep]
+    return _lists(np.bincount(of, minlength=len(n)), places.flatten().filter(pa.array(keep)))
 
 
 def logreg(max_iter: int = 20, reg: float = 0.01, elastic: float = 0.0) -> LogisticRegression:

@@ -75,7 +75,7 @@ def test_tokenizer_runs_once_per_catalogue(spark):
 
 
 PYTHON_KEYS = {"filt_udf", "udf_scalar", "udf_array_struct", "udtf_flatmap", "pca_covariance",
-               "pca_center", "pca_project_line", "udf_vector", "udf_array_int"}
+               "pca_center", "pca_project_line", "udf_vector", "udf_array_int", "agg_array_elements", "udaf_accumulator"}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
@@ -108,6 +108,23 @@ def test_queries_without_a_twin(spark, key):
         assert v == sorted(v, reverse=True) and v[-1] > -1e-9
 
 
+def test_python_keys_work_on_whole_batches(spark):
+    for key in ("udf_vector", "udf_array_int", "udtf_flatmap", "agg_array_elements", "udaf_accumulator"):
+        plan = physical_plan(QUERIES[key](spark, SF_SMALL))
+        assert "BatchEvalPython" not in plan and "Arrow" in plan and "posexplode" not in plan
+
+
+def test_element_sums(spark):
+    from tessera.operators.relational import element_sums
+
+    rows = [("a", 1, [1.0, 2.0]), ("a", 1, [3.0, None, 5.0]), ("b", 1, None), (None, 2, [7.0]), ("a", 2, []), (None, 2, [1.0])]
+    df = spark.createDataFrame(rows * 50, "k string, m int, v array<double>").repartition(3)
+    got = {(r["k"], r["m"], r["pos"]): (r["total"], r["n"]) for r in element_sums(df, "v", "k", "m").collect()}
+    assert got == {("a", 1, 0): (200.0, 100), ("a", 1, 1): (100.0, 50), ("a", 1, 2): (250.0, 50), (None, 2, 0): (400.0, 100)}
+    assert {r["pos"]: r["total"] for r in element_sums(df, "v").collect()} == {0: 600.0, 1: 100.0, 2: 250.0}
+    assert element_sums(df.limit(0), "v", "k").count() == 0
+
+
 def test_broadcasts_follow_real_sizes(spark):
     for key in ("ctr_ohe_encode", "ctr_probability"):
         assert "BroadcastHashJoin" in physical_plan(QUERIES[key](spark, SF_SMALL))
