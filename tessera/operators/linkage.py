@@ -105,12 +105,41 @@ def normalized(weights: DataFrame) -> DataFrame:
 
 
 def prefixes(unit: DataFrame, idf_df: DataFrame, least: float = LEAST_SIM) -> DataFrame:
-    """(rec_id, token) of the rarest tokens of each record, without the commonest
-    ones whose weights together are shorter than ``least``."""
+    """(rec_id, token, df, u, tail, out) of the rarest tokens of each record, without the
+    commonest ones whose weights together are shorter than ``least``; tail is the length
+    of the record's weights on tokens commoner than this one, out on those left out."""
     commonest = Window.partitionBy("rec_id").orderBy(F.desc("df"), "token")
-    rest = F.sqrt(F.sum(F.col("u") * F.col("u")).over(commonest))
-    ranked = unit.join(idf_df.select("token", "df"), "token").withColumn("_rest", rest)
-    return ranked.where(F.col("_rest") >= least * (1 - 1e-9)).select("rec_id", "token")
+    record = Window.partitionBy("rec_id")
+    ranked = unit.join(idf_df.select("token", "df"), "token").withColumn(
+        "_rest", F.sqrt(F.sum(F.col("u") * F.col("u")).over(commonest)))
+    kept = F.col("_rest") >= least * (1 - 1e-9)
+    ranked = ranked.withColumn("tail", F.coalesce(F.lag("_rest").over(commonest), F.lit(0.0))).withColumn(
+        "out", F.coalesce(F.max(F.when(~kept, F.col("_rest"))).over(record), F.lit(0.0)))
+    return ranked.where(kept).select("rec_id", "token", "df", "u", "tail", "out")
+
+
+def candidates(ua: DataFrame, ub: DataFrame, idf_df: DataFrame, least: float = LEAST_SIM,
+               per_part: int = 10_000) -> DataFrame:
+    """(id_a, id_b) that may have sim >= ``least``: all that do, and few others.
+
+    Prefixes are joined by token, and the products of a pair's common prefix tokens are
+    added up.  Any other token that both records have is commoner than each of these,
+    and outside one of the prefixes; so what is missing is at most the product of the
+    shortest tails, and at most out_a * tail_b + tail_a * out_b.  Pairs that stay below
+    ``least`` with that are dropped in the same aggregate.  The records of a token with
+    a df over ``per_part`` are split among parts by a hash, which the other side visits."""
+    parts = F.ceil(F.col("df") / F.lit(float(per_part))).cast("int")
+    a = prefixes(ua, idf_df, least).select(
+        F.col("rec_id").alias("id_a"), "token", F.col("u").alias("u_a"), F.col("tail").alias("t_a"),
+        F.col("out").alias("o_a"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    b = prefixes(ub, idf_df, least).select(
+        F.col("rec_id").alias("id_b"), "token", F.col("u").alias("u_b"), F.col("tail").alias("t_b"),
+        F.col("out").alias("o_b"), F.pmod(F.hash("rec_id"), parts).alias("part"))
+    met = a.join(b, ["token", "part"]).groupBy("id_a", "id_b").agg(
+        F.sum(F.col("u_a") * F.col("u_b")).alias("p"), F.min("t_a").alias("t_a"), F.min("t_b").alias("t_b"),
+        F.min("o_a").alias("o_a"), F.min("o_b").alias("o_b"))
+    missing = F.least(F.col("t_a") * F.col("t_b"), F.col("o_a") * F.col("t_b") + F.col("t_a") * F.col("o_b"))
+    return met.where(F.col("p") + missing >= least * (1 - 1e-9)).select("id_a", "id_b")
 
 
 def similar_pairs(ua: DataFrame, ub: DataFrame, idf_df: DataFrame, least: float = LEAST_SIM) -> DataFrame:
@@ -118,11 +147,8 @@ def similar_pairs(ua: DataFrame, ub: DataFrame, idf_df: DataFrame, least: float
 
     If no token is in both prefixes, every shared token lies in what one of the
     prefixes leaves out, so the product is below ``least``.  Frequent tokens fall
-    out of the prefixes by their weight; pairs found are summed over all tokens."""
-    pa = prefixes(ua, idf_df, least).withColumnRenamed("rec_id", "id_a")
-    pb = prefixes(ub, idf_df, least).withColumnRenamed("rec_id", "id_b")
-    found = pa.join(pb, "token").select("id_a", "id_b").distinct()
-    return _sims(found, ua, ub).where(F.col("sim") >= least)
+    out of the prefixes by their weight; candidates are summed over all tokens."""
+    return _sims(candidates(ua, ub, idf_df, least), ua, ub).where(F.col("sim") >= least)
 
 
 def _sims(pairs: DataFrame, ua: DataFrame, ub: DataFrame) -> DataFrame:

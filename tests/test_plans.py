@@ -171,6 +171,11 @@ def test_similar_pairs_equal_all_pairs(spark):
         got = {(r.id_a, r.id_b): r.sim for r in LK.similar_pairs(ua, ub, df, least).collect()}
         want = {k: v for k, v in sims.items() if v >= least}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+        split = LK.candidates(ua, ub, df, least, per_part=3)  # hot tokens in parts: the same candidates
+        assert {tuple(r) for r in split.collect()} == {tuple(r) for r in LK.candidates(ua, ub, df, least).collect()}
+        met = LK.prefixes(ua, df, least).select(F.col("rec_id").alias("a"), "token").join(
+            LK.prefixes(ub, df, least).select(F.col("rec_id").alias("b"), "token"), "token").select("a", "b").distinct()
+        assert len(want) <= split.count() <= met.count()
     assert abs(LK.similarity_total(ua, ub).first()["total"] - sum(sims.values())) < 1e-9
 
 
