@@ -753,18 +753,75 @@ def lin_gradient_descent(spark, sf):
     return spark.createDataFrame(rows, "iteration int, rmse double, w0 double, w1 double, w2 double")
 
 
-@register("lin_elastic_fit")
+def _elastic_sql(regs, select: str) -> str:
+    """Elastic net (mixing 0.2) on the training part by coordinate descent over the
+    standardised moments, and its errors on the validation part."""
+    soft = lambda z: f"sign({z}) * greatest(abs({z}) - l, 0) / d"
+    return _LIN_CTE.replace("WITH b", "WITH RECURSIVE b", 1) + f"""
+, m AS (SELECT avg(x0) AS m0, avg(x1) AS m1, avg(x2) AS m2, avg(label) AS my, stddev_pop(x0) AS s0, stddev_pop(x1) AS s1,
+        stddev_pop(x2) AS s2, stddev_pop(label) AS sy, corr(x0, x1) AS p, corr(x0, x2) AS q, corr(x1, x2) AS r,
+        corr(x0, label) AS c0, corr(x1, label) AS c1, corr(x2, label) AS c2 FROM split WHERE sb < 80),
+k AS (SELECT *, 0.2 * reg / sy AS l, 1 + 0.8 * reg / sy AS d FROM m, (SELECT unnest({list(regs)}::DOUBLE[]) AS reg)),
+cd AS (SELECT reg, 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM k
+  UNION ALL SELECT reg, step + 1, b0, b1, {soft("(c2 - q * b0 - r * b1)")}
+  FROM (SELECT * REPLACE ({soft("(c1 - p * b0 - r * b2)")} AS b1)
+        FROM (SELECT cd.reg, step, {soft("(c0 - p * b1 - q * b2)")} AS b0, b1, b2, p, q, r, c0, c1, c2, l, d
+              FROM cd JOIN k USING (reg) WHERE step < 60))),
+w AS (SELECT reg, b0 * sy / s0 AS w0, b1 * sy / s1 AS w1, b2 * sy / s2 AS w2, m0, m1, m2, my
+      FROM cd JOIN k USING (reg) WHERE step = 60),
+fit AS (SELECT reg, label, my + w0 * (x0 - m0) + w1 * (x1 - m1) + w2 * (x2 - m2) AS prediction
+        FROM split, w WHERE sb >= 80 AND sb < 90),
+err AS (SELECT reg, sqrt(avg((prediction - label) ^ 2)) AS rmse,
+               1 - sum((prediction - label) ^ 2) / (var_pop(label) * count(*)) AS r2 FROM fit GROUP BY reg)
+{select}"""
+
+
+def _least_squares_sql(terms: list[str], dims: int, select: str) -> str:
+    """Least squares of the training labels on ``terms`` (standardised, by the
+    eigenpairs of their correlations, directions without variance left out; ``dims``
+    is their number made even), and the errors on the validation part."""
+    n = len(terms)
+    values = ", ".join(f"z{i}" for i in range(n))
+    each = f"LATERAL (SELECT unnest(range({n})) AS i, unnest([{values}]) AS v)"
+    line = " + ".join(f"(SELECT w FROM wt WHERE i = {i}) * (z{i} - (SELECT m FROM wt WHERE i = {i}))" for i in range(n))
+    return _LIN_CTE.replace("WITH b", "WITH RECURSIVE b", 1) + f"""
+, z AS (SELECT key, label, sb, {", ".join(f"({t}) AS z{i}" for i, t in enumerate(terms))} FROM split),
+tr AS (SELECT * FROM z WHERE sb < 80),
+mo AS (SELECT a.i, avg(a.v) AS m, stddev_pop(a.v) AS s, corr(a.v, label) AS c FROM tr, {each} a GROUP BY a.i),
+ly AS (SELECT avg(label) AS m, stddev_pop(label) AS s FROM tr),
+cr AS (SELECT a.i AS i, b.i AS j, corr(a.v, b.v) AS v FROM tr, {each} a, {each} b GROUP BY 1, 2),
+cov AS (SELECT a AS i, b AS j, coalesce(v, 0.0) AS v
+        FROM range({dims}) x(a) CROSS JOIN range({dims}) y(b) LEFT JOIN cr ON cr.i = a AND cr.j = b),{jacobi_cte(dims)}
+, along AS (SELECT rank, sum(x * c) AS t FROM vec JOIN mo ON mo.i = pos GROUP BY rank),
+beta AS (SELECT pos AS i, sum(x * t / value) AS b FROM vec JOIN along USING (rank) JOIN eig USING (rank)
+         WHERE value > 1e-9 GROUP BY pos),
+wt AS (SELECT i, b * (SELECT s FROM ly) / mo.s AS w, mo.m FROM beta JOIN mo USING (i)),
+fit AS (SELECT label, (SELECT m FROM ly) + {line} AS prediction FROM z WHERE sb >= 80 AND sb < 90),
+err AS (SELECT sqrt(avg((prediction - label) ^ 2)) AS rmse,
+               1 - sum((prediction - label) ^ 2) / (var_pop(label) * count(*)) AS r2 FROM fit)
+{select}"""
+
+
+# Penalties of the grid, how far fits go on, and digits that are stable then.
+_LIN_GRID = (1e-10, 1e-5, 1.0)
+_TOL, _ITERS = 1e-13, 5000
+
+
+def _errors(df):
+    return df.withColumn("rmse", F.round("rmse", 2)).withColumn("r2", F.round("r2", 6))
+
+
+@register("lin_elastic_fit", _elastic_sql([0.1], "SELECT round(rmse, 2) AS rmse, round(r2, 6) AS r2 FROM err"))
 def lin_elastic_fit(spark, sf):
     tr, va, _ = _lin_split(spark, sf)
-    m = LN.elastic_fit(tr)
-    return LN.evaluate(m, va)
+    return _errors(LN.evaluate(LN.elastic_fit(tr), va))
 
 
-@register("lin_grid_search")
+@register("lin_grid_search", _elastic_sql(_LIN_GRID, "SELECT reg AS reg_param, round(rmse, 2) AS val_rmse FROM err"))
 def lin_grid_search(spark, sf):
     tr, va, _ = _lin_split(spark, sf)
-    rows, _ = LN.grid_search(tr, va)
-    return spark.createDataFrame(rows, "reg_param double, val_rmse double")
+    rows, _ = LN.grid_search(tr, va, _LIN_GRID)
+    return spark.createDataFrame(rows, "reg_param double, val_rmse double").withColumn("val_rmse", F.round("val_rmse", 2))
 
 
 @register("lin_two_way", _LIN_CTE + """
@@ -776,19 +833,26 @@ def lin_two_way(spark, sf):
                     F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
 
 
-@register("lin_poly_pipeline")
+_X = ("x0", "x1", "x2")
+_SQUARES = [*_X, *(f"{a} * {b}" for i, a in enumerate(_X) for b in _X[:i + 1])]
+_PRODUCTS = [*_X, *(f"{a} * {b}" for a in _X for b in _X)]
+
+
+@register("lin_poly_pipeline", _least_squares_sql(
+    _SQUARES, 10, "SELECT round(rmse, 2) AS rmse, round(r2, 6) AS r2, 9 AS n_features FROM err"))
 def lin_poly_pipeline(spark, sf):
     tr, va, _ = _lin_split(spark, sf)
-    m = LN.poly_pipeline().fit(LN.as_vectors(tr))
+    m = LN.poly_pipeline(iters=_ITERS, tol=_TOL).fit(LN.as_vectors(tr))
     pred = m.transform(LN.as_vectors(va))
-    return RG.rmse_r2(pred).withColumn("n_features", F.lit(len(m.stages[-1].coefficients)))
+    return _errors(RG.rmse_r2(pred)).withColumn("n_features", F.lit(len(m.stages[-1].coefficients)))
 
 
-@register("lin_interaction_fit")
+@register("lin_interaction_fit", _least_squares_sql(
+    _PRODUCTS, 12, "SELECT round(rmse, 2) AS rmse, round(r2, 6) AS r2 FROM err"))
 def lin_interaction_fit(spark, sf):
     tr, va, _ = _lin_split(spark, sf)
-    m = LN.elastic_fit(LN.two_way(tr), reg=1e-10)
-    return LN.evaluate(m, LN.two_way(va))
+    m = LN.elastic_fit(LN.two_way(tr), reg=1e-10, iters=_ITERS, tol=_TOL)
+    return _errors(LN.evaluate(m, LN.two_way(va)))
 
 
 # =========================================================== click-through rate

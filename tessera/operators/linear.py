@@ -123,9 +123,9 @@ def as_vectors(points: DataFrame) -> DataFrame:
     return points.withColumn("fv", array_to_vector("features"))
 
 
-def elastic_fit(train: DataFrame, reg: float = 0.1, elastic: float = 0.2, iters: int = 500):
+def elastic_fit(train: DataFrame, reg: float = 0.1, elastic: float = 0.2, iters: int = 500, tol: float = 1e-6):
     lr = LinearRegression(featuresCol="fv", labelCol="label", maxIter=iters, regParam=reg,
-                          elasticNetParam=elastic, fitIntercept=True)
+                          elasticNetParam=elastic, fitIntercept=True, tol=tol)
     return lr.fit(as_vectors(train))
 
 
@@ -146,9 +146,10 @@ def grid_search(train: DataFrame, val: DataFrame, regs=(1e-10, 1e-5, 1.0), elast
     return rows, best[0]
 
 
-def poly_pipeline(degree: int = 2, reg: float = 1e-10, elastic: float = 0.2, iters: int = 500) -> Pipeline:
+def poly_pipeline(degree: int = 2, reg: float = 1e-10, elastic: float = 0.2, iters: int = 500,
+                  tol: float = 1e-6) -> Pipeline:
     """Degree-2 expansion (d(d+3)/2 features: no duplicate x*y/y*x) + regression."""
     pe = PolynomialExpansion(degree=degree, inputCol="fv", outputCol="poly")
     lr = LinearRegression(featuresCol="poly", labelCol="label", maxIter=iters, regParam=reg,
-                          elasticNetParam=elastic)
+                          elasticNetParam=elastic, tol=tol)
     return Pipeline(stages=[pe, lr])
