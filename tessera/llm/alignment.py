@@ -22,8 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .batchtokens import encoder, release, slices_by_bytes
-from .common import pin
+from .batchtokens import encoder, slices_by_bytes
+from .common import pin, release
 
 class Aligned(NamedTuple):
     """Token ``left[k]`` of the first side is linked to ``right[k]`` of the other;

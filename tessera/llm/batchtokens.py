@@ -32,7 +32,7 @@ class Encoded(NamedTuple):
     ids: np.ndarray
 
 
-def slices_by_bytes(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+def slices_by_bytes(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of slices of about ``most`` bytes; a longer text is a slice of its own."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
@@ -45,11 +45,6 @@ def slices_by_bytes(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int
         yield at, len(size)
 
 
-def release() -> None:
-    """Give memory that a partition used back, as workers live on."""
-    pa.default_memory_pool().release_unused()
-
-
 class _Encoder:
     odd: str  # texts in which not every space is a safe cut
     safe: re.Pattern  # the cuts of those
@@ -73,14 +68,15 @@ class _Encoder:
                               [len(r) for r in rough], np.ones(len(alone))]).astype(np.int64)
         parts = pa.concat_arrays([lists.flatten(), pa.array([p for r in rough for p in r], texts.type), alone])
         first = np.cumsum(per) - per
-        kind = np.zeros(len(parts), np.int64)
+        kind = np.zeros(len(parts), np.int32)
         if not lead:
             kind[first] = HEAD
         kind[len(parts) - len(alone):] = WHOLE
         length, ids, at = self._different(parts, kind, lead)
-        ends = np.cumsum(length)
-        flat = ids[np.repeat(at - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat((at - bounds[:-1]).astype(np.int32), length)  # a slice has far fewer than 2 ** 31 ids
+        place += np.arange(len(place), dtype=np.int32)
+        flat = ids[place]
         start, stop = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
         start[order], stop[order] = bounds[first], bounds[first + per]
         return Encoded(start, stop, flat)
@@ -89,7 +85,9 @@ class _Encoder:
         """(number of ids of each part, ids of the different parts, where those of each part begin)."""
         coded = parts.dictionary_encode()
         n = len(coded.dictionary)
-        code = coded.indices.to_numpy() + n * kind
+        kind *= n
+        kind += coded.indices.to_numpy()
+        code = kind
         used = np.zeros(3 * n, bool)
         used[code] = True
         which = np.nonzero(used)[0]
@@ -109,8 +107,8 @@ class _Encoder:
         order = np.concatenate([np.nonzero(plain)[0], np.nonzero(~plain)[0]])
         begin = np.empty(len(which), np.int64)
         begin[order] = np.cumsum(size[order]) - size[order]
-        place = (np.cumsum(used) - 1)[code]
-        return size[place], ids, begin[place]
+        place = (np.cumsum(used, dtype=np.int32) - 1)[code]
+        return size.astype(np.int32)[place], ids, begin.astype(np.int32)[place]
 
     def joined(self, words: list[str], after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sizes, ids) of parts that follow a space and hold none: as one text, in

@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Iterator
@@ -126,3 +127,20 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def shards_for(rows: int, per_shard: int) -> int:
     return max(1, math.ceil(rows / per_shard))
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold ``rows`` rows unless the session says something of its own:
+    whole texts are long, and a batch is held by the JVM and by Python at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's own default
+        spark.conf.set(key, str(rows))
+
+
+def release() -> None:
+    """Give memory that a batch or partition used back to the system: workers live on
+    through later stages, beside the JVM of their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)

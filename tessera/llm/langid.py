@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import fresh
+from .common import fresh, release
 
 # Bytes that stay: lower-case letters and all of multi-byte characters.
 KEEP = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -197,6 +197,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def of(col: pa.Array) -> pa.Array:
         m = shared.value
         found = [m.predict(t.as_py()) for t in col]
+        release()
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()),
                                            pa.array([f[1] for f in found], pa.float64())], ["lang", "score"])
 

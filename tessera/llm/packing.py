@@ -18,8 +18,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batchtokens import encoder, release, slices_by_bytes
-from .common import pin, shards_for
+from .batchtokens import encoder, slices_by_bytes
+from .common import pin, release, shards_for
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -36,6 +36,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text_co
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # of what earlier stages left in this worker
         tok = encoder(path)
         for batch in batches:
             texts = batch.column(len(keep))
