@@ -5,11 +5,14 @@ value is a protected entity.  Terms in documents that mention an entity may give
 it away even when it is masked.  How strongly is estimated from the corpus: with
 n(e) documents that mention e, n(t) that hold t, n(e, t) that do both, and N in
 all, the pointwise mutual information log(N n(e, t) / (n(e) n(t))) is the part of
-e's information content log(N / n(e)) that t discloses.  Wherever it stands in
-a document that mentions e, a term that discloses ``general`` of it or more is
-generalised to a placeholder, one that discloses ``remove`` or more is removed.
-Pairs need ``support`` different contexts (the words around the mentions and the
-term), so copies of one passage alone disclose nothing.
+e's information content log(N / n(e)) that t discloses, or 1 + log p / log(N / n(e))
+with p = n(e, t) / n(t).  As p is seen in few documents, its lower confidence bound
+(Wilson's, at ``z`` standard errors) stands for it, so rare entities count too and
+need no least number of documents.  Only different contexts (the words around the
+mentions and the term) are evidence, so copies of one passage are worth one.
+Wherever it stands in a document that mentions e, a term that discloses
+``general`` of it or more is generalised to a placeholder, one that discloses
+``remove`` or more is removed.
 """
 from __future__ import annotations
 
@@ -217,51 +220,82 @@ def document_frequencies(docs: DataFrame, terms: DataFrame | None, text_col: str
     return out if few or terms is None else out.join(terms, "term", "left_semi")
 
 
+def join_dealt(rows: DataFrame, each: DataFrame, key: str, weight: str, most: int = 10_000) -> DataFrame:
+    """``rows`` (with a column ``row``) joined with ``each``, which has one row a
+    ``key`` and says in ``weight`` how many of ``rows`` bear it: a key of over
+    ``most`` rows is dealt to several tasks."""
+    parts = F.ceil(F.col(weight) / most).cast("int")
+    heavy = each.where(F.col(weight) > most).select(key, parts.alias("parts"))
+    few = F.broadcast if heavy.count() <= 100_000 else (lambda d: d)  # 40 bytes a row when broadcast
+    rows = rows.join(few(heavy), key, "left").withColumn(
+        "deal", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    each = each.withColumn("deal", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return rows.join(each, [key, "deal"]).drop("deal")
+
+
+def told_part(n: float, n_e: Column, n_t: Column, n_et: Column, contexts: Column, z: float) -> Column:
+    """The part of an entity's information that a term discloses, by the lower
+    bound of p = n(e, t) / n(t) seen in ``contexts`` / p independent documents."""
+    p = F.least(F.lit(1.0), n_et / n_t)
+    m = contexts / p
+    low = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    return 1 + F.log(low) / F.log(F.lit(n) / n_e)
+
+
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str, window: int, general: float,
-                support: int) -> DataFrame:
-    """(entity, term, part): the part of the entity's information that the term
-    discloses, where that is ``general`` or more.
-
-    Documents of equal text are one class.  What cannot reach ``support`` or
-    ``general`` is left out before terms and entities meet: entities and terms of
-    fewer classes, and, as n(e, t) is at most n(e), terms with
-    n(t) > N ** (1 - general) * n(e) ** general.
+                z: float) -> DataFrame:
+    """(row, hash, w, told): for each different text with entities one of its rows,
+    how many rows bear it, and its terms that disclose ``general`` of an entity or
+    more, with the largest part.
+
+    Documents of equal text are one class.  Entities of one text alone are alike
+    for every term, so each text has one for all of them.  Entities and terms of a
+    text meet in blocks of entities and slices of terms, and only where even
+    n(e, t) = n(e) in as many contexts would disclose enough.
     """
-    n = found.count()
+    n = float(found.count())
     each = found.select("row", "hash", F.explode("mentions").alias("x")).select("row", "hash", "x.entity", "x.context")
     classes = pin(each.groupBy("entity", "hash").agg(F.min("row").alias("row"), F.min("context").alias("near"),
                                                      F.count("*").alias("w")), "classes")
-    n_e = classes.groupBy("entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("texts"))
-    n_e = pin(n_e.where((F.col("texts") >= support) & (F.col("n_e") < n)).select("entity", "n_e"), "entities")
-    most = n_e.agg(F.max("n_e")).first()[0]
-    if most is None:
-        return n_e.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("part")).limit(0)
-    classes = pin(classes.join(n_e, "entity").select("entity", "row", "near", "w", "n_e"), "mentions")
-    texts = found.where(F.size("mentions") > 0).select("row", "text").join(
-        pin(classes.select("row").distinct(), "texts"), "row", "left_semi")
-    often = document_frequencies(texts, None, "text").where(F.col("n_t") >= support)
-    n_t = document_frequencies(docs, pin(often.select("term"), "terms"), text_col)
-
-    def bound(mentioned):
-        return F.pow(F.lit(float(n)), F.lit(1 - general)) * F.pow(mentioned, F.lit(general)) * (1 + 1e-9)
-
-    rare = pin(n_t.where(F.col("n_t") <= bound(F.lit(float(most)))), "rare")
-    held = texts.mapInArrow(_terms(window), "row long, term string, context long").join(rare, "term")
-    pairs = held.join(classes, "row").where(F.col("n_t") <= bound(F.col("n_e")))
+    n_e = pin(classes.groupBy("entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("texts")), "entities")
+    alone = F.col("texts") == 1
+    classes = join_dealt(classes, n_e, "entity", "texts").where(F.col("n_e") < n).select(
+        F.when(alone, F.xxhash64("row", F.lit("alone"))).otherwise(F.col("entity")).alias("entity"),
+        "row", "hash", F.when(alone, F.lit(0)).otherwise(F.col("near")).alias("near"), "w", "n_e")
+    classes = pin(classes.distinct(), "mentions")
+    by_row = classes.groupBy("row").agg(F.first("hash").alias("hash"), F.first("w").alias("w"),
+                                        F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
+    texts = found.where(F.size("mentions") > 0).select("row", "text").join(by_row, "row").withColumn(
+        "slices", F.ceil((F.length("text") + 1) / 100_000).cast("int"))
+    texts = pin(texts, "texts")
+    wanted = pin(document_frequencies(texts, None, "text").select("term"), "terms")
+    n_t = document_frequencies(docs, wanted, text_col)
+    held = texts.mapInArrow(_terms(window), "row long, term string, context long").join(n_t, "term")
+    size = texts.select("row", "blocks", "slices")
+    held = held.join(size, "row").withColumn("slice", F.pmod(F.xxhash64("term"), "slices").cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "slices")
+    dealt = classes.join(size, "row").withColumn("block", F.pmod(F.xxhash64("entity"), "blocks").cast("int")).withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("blocks", "slices", "hash")
+    n_t, n_e = F.col("n_t"), F.col("n_e")
+    pairs = held.join(dealt, ["row", "block", "slice"]).where(
+        told_part(n, n_e, n_t, F.least(n_e, n_t), F.least(n_e, n_t), z) >= general - 1e-9)
+    pairs = pin(pairs.select("row", "entity", "term", "near", "context", "w", "n_e", "n_t"), "pairs")
     by_context = pairs.groupBy("entity", "term", "near", "context").agg(
         F.sum("w").alias("n"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
-    pairs = by_context.groupBy("entity", "term").agg(
+    told = by_context.groupBy("entity", "term").agg(
         F.sum("n").alias("n_et"), F.count("*").alias("contexts"), F.max("n_e").alias("n_e"),
-        F.max("n_t").alias("n_t")).where(F.col("contexts") >= support)
-    whole = F.lit(float(n))
-    information = F.log(whole / F.col("n_e"))
-    told = F.log(whole * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    return pin(pairs.select("entity", "term", (told / information).alias("part")).where(F.col("part") >= general),
-               "disclosures")
+        F.max("n_t").alias("n_t"))
+    told = told.select("entity", "term", told_part(
+        n, n_e, F.greatest("n_t", "n_et"), F.col("n_et"), F.col("contexts"), z).alias("part")).where(
+        F.col("part") >= general)
+    terms = pairs.select("row", "entity", "term").join(told, ["entity", "term"]).groupBy("row", "term").agg(
+        F.max("part").alias("part"))
+    terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "part")).alias("told"))
+    return texts.select("row", "hash", "w", "text").join(terms, "row")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 80,
-             general: float = 0.8, support: int = 3) -> DataFrame:
+             general: float = 0.8, z: float = 1.0) -> DataFrame:
     """One row per row of ``docs``: its id, ``hash`` (of the text), ``base`` (spans
     of patterns: rank of the kind, start, end; by rank, then start) and ``terms``
     (start, end, part: what the most disclosed entity of the row loses by the
@@ -270,23 +304,28 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Positions count code points, ends are exclusive.  Null and empty texts have
     no spans.  Repeated rows each give a row and count as documents; an empty
-    table gives no rows.  Whole texts are searched, and the statistics are over
-    all documents.
+    table gives no rows.  Other columns, whatever their names, play no part.
+    Whole texts are searched, and the statistics are over all documents.  An
+    entity that all documents mention has no information that a term could
+    disclose.
     """
     found = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
                         F.col(text_col).alias("text"), _scan(window)(F.col(text_col)).alias("f"),
                         F.monotonically_increasing_id().alias("row"))
     found = pin(found.select("row", "id", "hash", "f.base", "f.mentions",
                              F.when(F.size("f.mentions") > 0, F.col("text")).alias("text")), "found")
-    told = disclosures(docs, found, text_col, window, general, support)
-    each = found.select("row", F.explode("mentions").alias("x")).select("row", "x.entity")
-    terms = each.join(told, "entity").groupBy("row", "term").agg(F.max("part").alias("part"))
-    terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "part")).alias("told"))
-    masked = found.where(F.size("mentions") > 0).select("row", "text").join(terms, "row").select(
-        "row", _masked()("text", "told").alias("terms"))
-    out = found.select("row", "id", "hash", "base").join(masked, "row", "left")
-    return out.select(F.col("id").alias(id_col), "hash", "base",
-                      F.coalesce("terms", F.array().cast(MASKED)).alias("terms"))
+    told = disclosures(docs, found, text_col, window, general, z)
+    masked = pin(told.select("hash", "w", _masked()("text", "told").alias("terms")), "masks")
+    some, none = F.size("mentions") > 0, F.array().cast(MASKED)
+    # a text of many rows meets its mask in several tasks; texts without entities need none
+    with_terms = join_dealt(found.where(some).select("row", "id", "hash", "base"), masked, "hash", "w")
+    known = with_terms.select("row", "id", "hash", "base", "terms")
+    heavy = masked.select("hash")
+    few = F.broadcast if heavy.count() <= 100_000 else (lambda d: d)
+    rest = found.where(some).join(few(heavy), "hash", "left_anti").union(
+        found.where(~some).select("hash", *[c for c in found.columns if c != "hash"]))
+    out = known.union(rest.select("row", "id", "hash", "base", none.alias("terms")))
+    return out.select(F.col("id").alias(id_col), "hash", "base", "terms")
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -304,12 +343,12 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 80,
-             general: float = 0.8, remove: float = 0.95, support: int = 3) -> DataFrame:
+             general: float = 0.8, remove: float = 0.95, z: float = 1.0) -> DataFrame:
     """``docs`` with [EMAIL], [IP], [CARD] and [PHONE] for what the patterns find,
     [TERM] for terms that disclose ``general`` of an entity of the text, and nothing
     for those that disclose ``remove``.  Other texts, and all other columns, stay."""
     i, h, t = fresh(docs, "i", "h", "t")
-    spans = find_pii(docs, id_col, text_col, window, general, support).where(F.size("terms") > 0)
+    spans = find_pii(docs, id_col, text_col, window, general, z).where(F.size("terms") > 0)
     spans = pin(spans.select(F.col(id_col).alias(i), F.col("hash").alias(h), F.col("terms").alias(t))
                 .dropDuplicates([i, h]), "spans")
     size = spans.agg(F.count("*") * 80 + F.coalesce(F.sum(F.size(t)), F.lit(0)) * 32).first()[0]
