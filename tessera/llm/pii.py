@@ -23,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -153,16 +154,19 @@ def _scan(window: int):
     return scan
 
 
-def _terms(window: int):
+def _terms(window: int, common: Broadcast):
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(row, term, context) of every different term of each (row, text)."""
+        """(row, term, context) of every different term of each (row, text, need) but
+        the ``common`` ones that stand in more than ``need`` documents."""
+        often = common.value
         for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for row, text, need in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 text = text.as_py()
                 places = term_places(text, base_spans(text))
                 contexts, first = Contexts(places, window), {}
                 for a, b, t in places:
-                    first.setdefault(t, (a, b))
+                    if t not in first and often.get(t, 0) <= need:
+                        first[t] = (a, b)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row] * len(first), pa.int64()), pa.array(list(first), pa.string()),
                      pa.array([contexts.of(a, b) for a, b in first.values()], pa.int64())], ["row", "term", "context"])
@@ -233,6 +237,14 @@ def join_dealt(rows: DataFrame, each: DataFrame, key: str, weight: str, most: in
     return rows.join(each, [key, "deal"]).drop("deal")
 
 
+def most_common(n_t: DataFrame, most: int = 100_000) -> dict[str, int]:
+    """The terms that make up more than a ``most``-th of all (document, term) pairs
+    each, so fewer than ``most``; the longest words are left to the join."""
+    total = n_t.agg(F.sum("n_t")).first()[0] or 0
+    top = n_t.where((F.col("n_t") > total / most) & (F.octet_length("term") <= 64)).toArrow()
+    return dict(zip(top.column("term").to_pylist(), top.column("n_t").to_pylist()))
+
+
 def told_part(n: float, n_e: Column, n_t: Column, n_et: Column, contexts: Column, z: float) -> Column:
     """The part of an entity's information that a term discloses, by the lower
     bound of p = n(e, t) / n(t) seen in ``contexts`` / p independent documents."""
@@ -251,7 +263,8 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str, window: int, g
     Documents of equal text are one class.  Entities of one text alone are alike
     for every term, so each text has one for all of them.  Entities and terms of a
     text meet in blocks of entities and slices of terms, and only where even
-    n(e, t) = n(e) in as many contexts would disclose enough.
+    n(e, t) = n(e) in as many contexts as e has texts would disclose enough, so
+    n(t) is at most ``need`` = N ** (1 - general) * n(e) ** general.
     """
     n = float(found.count())
     each = found.select("row", "hash", F.explode("mentions").alias("x")).select("row", "hash", "x.entity", "x.context")
@@ -261,24 +274,26 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str, window: int, g
     alone = F.col("texts") == 1
     classes = join_dealt(classes, n_e, "entity", "texts").where(F.col("n_e") < n).select(
         F.when(alone, F.xxhash64("row", F.lit("alone"))).otherwise(F.col("entity")).alias("entity"),
-        "row", "hash", F.when(alone, F.lit(0)).otherwise(F.col("near")).alias("near"), "w", "n_e")
+        "row", "hash", F.when(alone, F.lit(0)).otherwise(F.col("near")).alias("near"), "w", "n_e", "texts")
     classes = pin(classes.distinct(), "mentions")
-    by_row = classes.groupBy("row").agg(F.first("hash").alias("hash"), F.first("w").alias("w"),
-                                        F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
+    by_row = classes.groupBy("row").agg(
+        F.first("hash").alias("hash"), F.first("w").alias("w"), F.ceil(F.count("*") / 256).cast("int").alias("blocks"),
+        F.max(F.pow(F.lit(n), 1 - general) * F.pow("n_e", F.lit(general)) * (1 + 1e-9)).alias("need"))
     texts = found.where(F.size("mentions") > 0).select("row", "text").join(by_row, "row").withColumn(
         "slices", F.ceil((F.length("text") + 1) / 100_000).cast("int"))
     texts = pin(texts, "texts")
-    wanted = pin(document_frequencies(texts, None, "text").select("term"), "terms")
-    n_t = document_frequencies(docs, wanted, text_col)
-    held = texts.mapInArrow(_terms(window), "row long, term string, context long").join(n_t, "term")
+    n_t = pin(document_frequencies(docs, None, text_col), "frequencies")
+    common = docs.sparkSession.sparkContext.broadcast(most_common(n_t))
+    held = texts.select("row", "text", "need").mapInArrow(
+        _terms(window, common), "row long, term string, context long").join(n_t, "term")
     size = texts.select("row", "blocks", "slices")
     held = held.join(size, "row").withColumn("slice", F.pmod(F.xxhash64("term"), "slices").cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "slices")
     dealt = classes.join(size, "row").withColumn("block", F.pmod(F.xxhash64("entity"), "blocks").cast("int")).withColumn(
         "slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("blocks", "slices", "hash")
-    n_t, n_e = F.col("n_t"), F.col("n_e")
+    n_t, n_e, most = F.col("n_t"), F.col("n_e"), F.least("n_e", "n_t", "texts")
     pairs = held.join(dealt, ["row", "block", "slice"]).where(
-        told_part(n, n_e, n_t, F.least(n_e, n_t), F.least(n_e, n_t), z) >= general - 1e-9)
+        told_part(n, n_e, n_t, F.least(n_e, n_t), most, z) >= general - 1e-9)
     pairs = pin(pairs.select("row", "entity", "term", "near", "context", "w", "n_e", "n_t"), "pairs")
     by_context = pairs.groupBy("entity", "term", "near", "context").agg(
         F.sum("w").alias("n"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
