@@ -10,6 +10,7 @@ from tessera.operators import ctr as CT
 from tessera.operators import linear as LN
 from tessera.operators import pca as PC
 from tessera.operators import regression as RG
+from tessera.operators import trees as TR
 
 
 def _points(spark, n=600, seed=0):
@@ -99,3 +100,39 @@ def test_hashed_buckets_with_shared_ones_and_repeats(spark):
         assert all(indices[i] == sorted(b for (r, b), v in want.items() if r == i for _ in range(int(v))) for i in indices)
         got = CT.sparsity(df, 10, m).first()
         assert np.isclose(got["hashed_sparsity"], len(want) / len(recs) / m)
+
+
+def test_trees_equal_spark_ml_by_fold(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 30, 900), rng.integers(0, 8, 900), rng.integers(0, 5, 900)]).astype(float)
+    y = 1e5 + 50 * (x[:, 0] > 12) * x[:, 1] - 80 * (x[:, 2] == 3) + rng.normal(size=900)
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame([(i, *map(float, x[i]), float(y[i])) for i in range(900)],
+                               "key long, a double, b double, c double, label double").repartition(3)
+    trees, errors, cuts = TR.grow(df, cols, F.col("key") % 3, 3)
+    for depth in (0, 2, 3):
+        for k in (0, 1, 2) if depth else (1,):
+            ml = DecisionTreeRegressor(maxDepth=depth, maxBins=100).fit(
+                RG.assembler(cols).transform(df.where(F.col("key") % 3 != k)))
+            held = df.where(F.col("key") % 3 == k)
+            want = ml.transform(RG.assembler(cols).transform(held)).withColumnRenamed("prediction", "want")
+            got = TR.with_tree(want, cols, trees[k], depth, cuts)
+            assert got.where(F.abs(F.col("want") - F.col("prediction")) > 1e-6).count() == 0
+            assert np.isclose(RG.rmse_r2(got).first()["rmse"], errors[k, depth], rtol=1e-8)
+
+
+def test_trees_of_nulls_constants_many_values_and_empty_tables(spark):
+    rows = [(i % 2, None if i % 5 == 0 else float(i), 7.0, None if i == 3 else float(i % 5 == 0) * 10) for i in range(400)]
+    df = spark.createDataFrame(rows, "f int, a double, k double, label double")
+    trees, errors, cuts = TR.grow(df, ["a", "k"], F.col("f"), 1, max_bins=16)
+    assert cuts[1] == [] and 1 < len(cuts[0]) < 16 and set(trees) == {None, 0, 1}
+    assert trees[None].splits[1].feature == 0  # nulls are in the last bin, all others left of it
+    pred = TR.with_tree(df, ["a", "k"], trees[None], 1, cuts)
+    assert {r["prediction"] for r in pred.where("a is null").collect()} == {10.0} and max(errors[k, 1] for k in (0, 1)) < 1e-6
+    constant = TR.grow(df.withColumn("label", F.lit(1.0)), ["a"], F.col("f"), 2)[0]
+    assert all(not t.splits and np.isclose(t.values[1], 1.0) for t in constant.values())
+    assert TR.grow(df.limit(0), ["a"], F.col("f"), 2)[0] == {}
+    with pytest.raises(ValueError):
+        TR.cv_tree(df.where("f = 0"), ["a"], F.col("f"))
