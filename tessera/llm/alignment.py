@@ -29,14 +29,14 @@ class Aligned(NamedTuple):
     """Token ``left[k]`` of the first side is linked to ``right[k]`` of the other;
     ``groups`` spells the tokens of each group, ``a1,a2|b1``."""
 
-    left: list[int]
-    right: list[int]
+    left: np.ndarray
+    right: np.ndarray
     groups: list[str]
 
 
 def diagonal_runs(a: list[int], b: list[int], names_a: list[str], names_b: list[str]) -> Aligned:
     """Align two sides by their end offsets ``a`` and ``b``, whose last ones are equal."""
-    left, right, groups = [], [], []
+    starts_a, starts_b, sizes, groups = [], [], [], []  # links come in stretches of one shift
     i = j = 0
     n, m = len(a), len(b)
     while i < n:
@@ -47,27 +47,32 @@ def diagonal_runs(a: list[int], b: list[int], names_a: list[str], names_b: list[
             while step := step // 2:  # the stretch ends in the block that differs
                 if at + step <= most and a[i + at:i + at + step] == b[j + at:j + at + step]:
                     at += step
-            left.extend(range(i, i + at))
-            right.extend(range(j, j + at))
-            groups.extend(map("|".join, zip(names_a[i:i + at], names_b[j:j + at])))
+            starts_a.append(i)
+            starts_b.append(j)
+            sizes.append(at)
+            groups += [f"{x}|{y}" for x, y in zip(names_a[i:i + at], names_b[j:j + at])]
             i, j = i + at, j + at
         else:  # an irregular group: each step goes on to the next two tokens that overlap
             p, q = i, j
             x, y = a[p], b[q]
-            while x != y:
-                left.append(p)
-                right.append(q)
+            while True:
+                starts_a.append(p)
+                starts_b.append(q)
+                sizes.append(1)
+                if x == y:
+                    break
                 if x < y:
                     p += 1
                     x = a[p]
                 else:
                     q += 1
                     y = b[q]
-            left.append(p)
-            right.append(q)
             groups.append(",".join(names_a[i:p + 1]) + "|" + ",".join(names_b[j:q + 1]))
             i, j = p + 1, q + 1
-    return Aligned(left, right, groups)
+    first_a, first_b, size = (np.array(x, np.int64) for x in (starts_a, starts_b, sizes))
+    left = np.repeat(first_a - (np.cumsum(size) - size), size)
+    left += np.arange(len(left))
+    return Aligned(left, left + np.repeat(first_b - first_a, size), groups)
 
 
 ALIGNED = ("n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
