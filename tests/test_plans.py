@@ -190,3 +190,62 @@ def test_frequent_tokens_leave_the_prefixes(spark):
     top = df.orderBy(F.desc("df")).first()["token"]
     assert LK.prefixes(link.ub, df, 0.3).where(F.col("token") == top).count() < unit.where(
         (F.col("source") == "B") & (F.col("token") == top)).count()
+
+
+def test_tf_adds_up_records_that_come_again(spark):
+    from tessera.operators import linkage as LK
+
+    rows = [(1, ["a", "b", "a"]), (1, ["a", "c", "c"]), (1, ["a"]), (2, []), (3, None), (None, ["x"]), (None, ["x"]), (4, ["é", "a"])]
+    rt = spark.createDataFrame(rows, "rec_id long, tokens array<string>").repartition(3)
+    want = {(1, "a", 1.0, 3), (1, "b", 1 / 3, 1), (1, "c", 2 / 3, 1), (1, "a", 1.0, 1), (None, "x", 2.0, 1),
+            (4, "é", 0.5, 1), (4, "a", 0.5, 1)}
+    got = sorted((str(r.rec_id), r.token, r.tf) for r in LK.tf(rt).collect())
+    assert got == sorted((str(i), t, f) for i, t, f, _ in want)
+    assert sorted(map(str, LK.tf(LK.term_counts(rt)).collect())) == sorted(map(str, LK.tf(rt).collect()))
+
+
+def test_unique_records_are_counted_without_a_shuffle(spark):
+    from tessera.operators import linkage as LK
+
+    ra, rb = _links(spark)
+    assert "Exchange" not in physical_plan(LK.tf(LK.corpus_union(ra, rb)))
+
+
+def test_idf_join_by_parts_of_the_vocabulary(spark):
+    from tessera.operators import linkage as LK
+
+    ra, rb = _links(spark)
+    tf = LK.tf(LK.corpus_union(ra, rb))
+    idf = LK.idf_from_tf(tf, 100)
+    rows = lambda df: sorted((r.source, r.rec_id, r.token, r.idf) for r in df.collect())
+    want = rows(tf.join(idf, "token"))
+    for most in (0, 600, 1 << 30):
+        assert rows(LK.with_idf(tf, idf, most)) == want
+    plan = physical_plan(LK.with_idf(tf, idf, 600))
+    assert "BroadcastHashJoin" in plan and "ShuffledHashJoin" in plan
+
+
+def test_units_hold_what_a_similarity_needs(spark):
+    from tessera.catalog.analyses import _Link
+    from tessera.operators import linkage as LK
+
+    link = _Link(spark, SF_SMALL)
+    whole = LK.normalized(LK.tfidf(link.tf_all, link.idf))
+    ua, ub = link.side(whole, "A"), link.side(whole, "B")
+    df = whole.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    want = {(r.id_a, r.id_b): r.sim for r in LK.similar_pairs(ua, ub, df).collect()}
+    got = {(r.id_a, r.id_b): r.sim for r in link.sims().collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert link.units[0].count() < whole.count()
+    total = LK.similarity_total(ua, ub).first()["total"]
+    assert abs(LK.similarity_total(*link.every_unit).first()["total"] - total) < 1e-9 * max(1, total)
+
+
+def test_sampled_grams_cover_the_text(spark):
+    from tessera.sources.standins import _sampled_grams
+
+    text = "aé\n😀bcdefghij" * 5
+    df = spark.createDataFrame([(text,), ("ab",), (None,)], "t string")
+    for k, stride in ((4, 3), (3, 7), (5, 5)):
+        got = [r.g for r in df.select(_sampled_grams(F.col("t"), k, stride).alias("g")).collect()]
+        assert got == [[text[i:i + k] for i in range(0, len(text) - k + 1, stride)], [], None]
