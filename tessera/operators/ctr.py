@@ -19,6 +19,9 @@ from ..plans import broadcast_pinned, cut_lineage, dense_index, running_sums
 
 KEYS = ("rid",)
 
+# Fixed value: features of a record up to which each place is looked up by a join of its own.
+MOST_PLACES = 32
+
 
 def exploded(records: DataFrame) -> DataFrame:
     return records.select(*KEYS, "label", F.explode("feats").alias("f")) \
@@ -36,10 +39,32 @@ def ohe_dictionary(records: DataFrame) -> DataFrame:
     return cut_lineage(dense_index(distinct_features(records), ["feature_id", "category"], "ohe_index"))
 
 
+def _looked_up(records: DataFrame, feats, table: DataFrame, value: str) -> DataFrame | None:
+    """(rid, label, feats, found): ``value`` of each place of ``feats``, null if the table has
+    no such feature.  The table is broadcast and joined once a place, so records stay where
+    they are read; None if it is too large for that, or a record has over ``MOST_PLACES``."""
+    records = records.select(*KEYS, "label", feats.alias("feats"))
+    table = broadcast_pinned(cut_lineage(table.select("feature_id", "category", value)))
+    places = records.agg(F.max(F.size("feats"))).first()[0] or 0
+    if places > MOST_PLACES or "ResolvedHint" not in table._jdf.queryExecution().analyzed().toString():
+        return None
+    out = records
+    for i in range(places):
+        side = table.select(*[F.col(c).alias(f"_{c}_{i}") for c in ("feature_id", "category", value)])
+        at = F.get("feats", F.lit(i))
+        out = out.join(F.broadcast(side), (at["_1"] == F.col(f"_feature_id_{i}")) & (at["_2"] == F.col(f"_category_{i}")),
+                       "left").drop(f"_feature_id_{i}", f"_category_{i}")
+    found = F.array(*[F.col(f"_{value}_{i}") for i in range(places)])
+    return out.select(*KEYS, "label", "feats", F.filter(found, lambda x: x.isNotNull()).alias("found"))
+
+
 def ohe_encode(records: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(keys, label, indices): sorted dictionary ids of each record's features.
     Categories missing from the dictionary are ignored; records keep a row (left join)."""
-    e = exploded(records).join(broadcast_pinned(dictionary), ["feature_id", "category"], "left")
+    found = _looked_up(records, F.col("feats"), dictionary, "ohe_index")
+    if found is not None:
+        return found.where(F.size("feats") > 0).select(*KEYS, "label", F.array_sort("found").alias("indices"))
+    e = exploded(records).join(dictionary, ["feature_id", "category"], "left")
     return (e.groupBy(*KEYS, "label")
              .agg(F.array_sort(F.filter(F.collect_list("ohe_index"), lambda x: x.isNotNull()))
                   .alias("indices")))
@@ -76,7 +101,10 @@ def _once(records: DataFrame) -> DataFrame:
 def hashed_indices(records: DataFrame, num_buckets: int) -> DataFrame:
     """(rid, label, indices): the md5 bucket of each different feature of a record, once a
     feature, by the bucket dictionary.  Null categories have none."""
-    buckets = broadcast_pinned(bucket_dictionary(records, num_buckets).drop("shared"))
+    buckets = bucket_dictionary(records, num_buckets).drop("shared")
+    found = _looked_up(records, F.array_distinct("feats"), buckets, "bucket")
+    if found is not None:
+        return found.select(*KEYS, "label", F.col("found").alias("indices"))
     return _once(records).join(buckets, ["feature_id", "category"], "left").groupBy(*KEYS, "label").agg(
         F.collect_list("bucket").alias("indices"))
 

@@ -249,3 +249,24 @@ def test_sampled_grams_cover_the_text(spark):
     for k, stride in ((4, 3), (3, 7), (5, 5)):
         got = [r.g for r in df.select(_sampled_grams(F.col("t"), k, stride).alias("g")).collect()]
         assert got == [[text[i:i + k] for i in range(0, len(text) - k + 1, stride)], [], None]
+
+
+def test_encoding_leaves_records_where_they_are_read(spark):
+    from tessera.operators import ctr as CT
+
+    rows = [(1, 1.0, [(0, "a"), (1, "x"), (0, "a")]), (2, 0.0, [(0, "b"), (1, None)]), (3, None, []), (4, 1.0, None), (5, 0.0, [(1, "new")])]
+    recs = spark.createDataFrame(rows, "rid long, label double, feats array<struct<_1: long, _2: string>>")
+    known = spark.createDataFrame([(0, "a", 0), (0, "b", 1), (1, "x", 2)], "feature_id long, category string, ohe_index long")
+    coded = CT.ohe_encode(recs, known)
+    assert sorted(map(tuple, coded.collect())) == [(1, 1.0, [0, 0, 2]), (2, 0.0, [1]), (5, 0.0, [])]
+    hashed = CT.hashed_indices(recs, 1 << 15)
+    assert {r.rid: len(r.indices) for r in hashed.collect()} == {1: 2, 2: 1, 3: 0, 4: 0, 5: 1}
+    few, most = [sorted(map(str, coded.collect())), sorted((r.rid, sorted(r.indices)) for r in hashed.collect())], CT.MOST_PLACES
+    for df in (coded, hashed):
+        assert "hashpartitioning(rid" not in physical_plan(df)
+    CT.MOST_PLACES = 0
+    try:
+        assert few == [sorted(map(str, CT.ohe_encode(recs, known).collect())),
+                       sorted((r.rid, sorted(r.indices)) for r in CT.hashed_indices(recs, 1 << 15).collect())]
+    finally:
+        CT.MOST_PLACES = most
