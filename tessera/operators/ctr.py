@@ -40,9 +40,10 @@ def ohe_dictionary(records: DataFrame) -> DataFrame:
 
 
 def _looked_up(records: DataFrame, feats, table: DataFrame, value: str) -> DataFrame | None:
-    """(rid, label, feats, found): ``value`` of each place of ``feats``, null if the table has
-    no such feature.  The table is broadcast and joined once a place, so records stay where
-    they are read; None if it is too large for that, or a record has over ``MOST_PLACES``."""
+    """(rid, label, found): ``value`` of every feature of a record that the table has, in
+    ``feats`` order.  The table is broadcast and joined once a place, so records stay where
+    they are read, unless some rid comes again with its label: then these are put together.
+    None if the table is too large for that, or a record has over ``MOST_PLACES`` features."""
     records = records.select(*KEYS, "label", feats.alias("feats"))
     table = broadcast_pinned(cut_lineage(table.select("feature_id", "category", value)))
     places = records.agg(F.max(F.size("feats"))).first()[0] or 0
@@ -55,15 +56,19 @@ def _looked_up(records: DataFrame, feats, table: DataFrame, value: str) -> DataF
         out = out.join(F.broadcast(side), (at["_1"] == F.col(f"_feature_id_{i}")) & (at["_2"] == F.col(f"_category_{i}")),
                        "left").drop(f"_feature_id_{i}", f"_category_{i}")
     found = F.array(*[F.col(f"_{value}_{i}") for i in range(places)])
-    return out.select(*KEYS, "label", "feats", F.filter(found, lambda x: x.isNotNull()).alias("found"))
+    out = out.select(*KEYS, "label", F.filter(found, lambda x: x.isNotNull()).alias("found"))
+    again = cut_lineage(records.groupBy(*KEYS, "label").count().where(F.col("count") > 1).limit(1))
+    if again.isEmpty():
+        return out
+    return out.groupBy(*KEYS, "label").agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 def ohe_encode(records: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(keys, label, indices): sorted dictionary ids of each record's features.
     Categories missing from the dictionary are ignored; records keep a row (left join)."""
-    found = _looked_up(records, F.col("feats"), dictionary, "ohe_index")
+    found = _looked_up(records.where(F.size("feats") > 0), F.col("feats"), dictionary, "ohe_index")
     if found is not None:
-        return found.where(F.size("feats") > 0).select(*KEYS, "label", F.array_sort("found").alias("indices"))
+        return found.select(*KEYS, "label", F.array_sort("found").alias("indices"))
     e = exploded(records).join(dictionary, ["feature_id", "category"], "left")
     return (e.groupBy(*KEYS, "label")
              .agg(F.array_sort(F.filter(F.collect_list("ohe_index"), lambda x: x.isNotNull()))

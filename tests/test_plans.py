@@ -270,3 +270,14 @@ def test_encoding_leaves_records_where_they_are_read(spark):
                        sorted((r.rid, sorted(r.indices)) for r in CT.hashed_indices(recs, 1 << 15).collect())]
     finally:
         CT.MOST_PLACES = most
+
+
+def test_records_that_come_again_are_encoded_together(spark):
+    from tessera.operators import ctr as CT
+
+    recs = spark.createDataFrame([(1, 1.0, [(0, "a"), (1, "x")]), (1, 1.0, [(0, "a"), (1, "new")]), (1, 0.0, [(0, "b")])],
+                                 "rid long, label double, feats array<struct<_1: long, _2: string>>").repartition(3)
+    known = spark.createDataFrame([(0, "a", 0), (0, "b", 1), (1, "x", 2)], "feature_id long, category string, ohe_index long")
+    assert sorted(map(tuple, CT.ohe_encode(recs, known).collect())) == [(1, 0.0, [1]), (1, 1.0, [0, 0, 2])]
+    hashed = {r.label: len(r.indices) for r in CT.hashed_indices(recs, 1 << 15).collect()}
+    assert hashed == {1.0: 4, 0.0: 1}
