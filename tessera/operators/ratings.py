@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans import broadcast_pinned, cut_lineage, dense_index
+from ..plans import broadcast_pinned, cut_lineage, dense_index, written
 
 
 def item_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
@@ -54,10 +54,12 @@ def ids_of(df: DataFrame, col: str, name: str) -> DataFrame:
 
 
 def indexed(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ratings with user_ix and item_ix, written once, and (item_id, item_ix)."""
+    """Ratings with user_ix and item_ix in place of their ids, written once, and
+    (item_id, item_ix).  ``ratings`` is read three times: hand it in written."""
     users, items = ids_of(ratings, "user_id", "user_ix"), ids_of(ratings, "item_id", "item_ix")
-    out = ratings.join(broadcast_pinned(users), "user_id").join(broadcast_pinned(items), "item_id")
-    return cut_lineage(out), items
+    # an id is dropped as soon as it is looked up: fits and their errors need the numbers only
+    out = ratings.join(broadcast_pinned(users), "user_id").drop("user_id")
+    return written(out.join(broadcast_pinned(items), "item_id").drop("item_id")), items
 
 
 def als(rank: int, seed: int = 42, max_iter: int = 5, reg: float = 0.1, blocks: int = 10) -> ALS:

@@ -136,3 +136,32 @@ def test_trees_of_nulls_constants_many_values_and_empty_tables(spark):
     assert TR.grow(df.limit(0), ["a"], F.col("f"), 2)[0] == {}
     with pytest.raises(ValueError):
         TR.cv_tree(df.where("f = 0"), ["a"], F.col("f"))
+
+
+@pytest.mark.parametrize("key", ["als_evaluate", "als_recommend"])
+def test_ratings_are_worked_out_once(spark, monkeypatch, key):
+    from tessera.catalog import QUERIES, analyses as AN
+
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(40) for i in range(1, 31) if (u + i) % 3]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    ratings = spark.createDataFrame([*rows, (None, 5, 2.0), (7, None, 3.0)], "user_id long, item_id long, rating double")
+    monkeypatch.setattr(AN.S, "ratings", lambda spark, sf: ratings.mapInArrow(count, ratings.schema))
+    assert QUERIES[key](spark, "/root/testdata/sf0.001").count() > 0
+    assert read.value == len(rows) + 2
+
+
+def test_numbered_ratings_carry_no_ids(spark):
+    from tessera.operators import ratings as RT
+
+    df = spark.createDataFrame([(10, 7, 1.0), (30, 7, 2.0), (20, 5, 3.0), (None, 5, 4.0), (10, None, 5.0)],
+                               "user_id long, item_id long, rating double")
+    numbered, items = RT.indexed(df)
+    assert sorted((r.user_ix, r.item_ix, r.rating) for r in numbered.collect()) == [(0, 1, 1.0), (1, 0, 3.0), (2, 1, 2.0)]
+    assert set(numbered.columns) == {"user_ix", "item_ix", "rating"}
+    assert sorted(map(tuple, items.collect())) == [(5, 0), (7, 1)]
