@@ -2,8 +2,8 @@
 
 Neither library merges across a single space between two characters that are
 not white space, so texts are cut there, in Arrow; each different part of a
-batch is encoded once, and the ids are gathered by numpy.  Nothing is kept from
-one batch to the next.
+batch is encoded once, and the ids are gathered by numpy.  The parts of a batch
+are kept until the next, so that of those only new ones are encoded.
 """
 from __future__ import annotations
 
@@ -22,6 +22,7 @@ WHITE = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{20
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 AFTER_SPACE, HEAD, WHOLE = range(3)
+MOST_SEEN = 1 << 19  # parts kept at most, and eight times as many ids; of a batch with more none are
 
 
 class Encoded(NamedTuple):
@@ -50,6 +51,7 @@ class _Encoder:
     safe: re.Pattern  # the cuts of those
     one: str  # parts that may be encoded side by side, parted by spaces
     begins: np.ndarray  # of each id: does it spell a space first
+    seen = None  # of the last batch: its parts that follow a space, their sizes, where their ids begin, and the ids
 
     def whole(self, texts: pa.Array) -> np.ndarray:
         return np.zeros(len(texts), bool)
@@ -94,22 +96,36 @@ class _Encoder:
         words = coded.dictionary.take(pa.array(which % max(1, n)))
         plain = (which < n) | (lead & (which < 2 * n))  # follows a space
         plain &= pc.match_substring_regex(words, self.one).to_numpy(zero_copy_only=False)
-        size = np.zeros(len(which), np.int64)
-        found = []
-        for mask, of in ((plain, self.joined), (~plain, self.alone)):
+        size, begin = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
+        old = np.zeros(len(which), bool)
+        found, held = [np.zeros(0, np.int32)], 0
+        if self.seen is not None and self.seen[0].type == words.type:
+            parts_seen, sizes, begins, ids = self.seen
+            known = pc.fill_null(pc.index_in(words, value_set=parts_seen), -1).to_numpy(zero_copy_only=False)
+            old = plain & (known >= 0)
+            size[old], begin[old] = sizes[known[old]], begins[known[old]]
+            found, held = [ids], len(ids)
+        for mask, of in ((plain & ~old, self.joined), (~plain, self.alone)):
             at = np.nonzero(mask)[0]
             after = (which[at] < n) | (lead & (which[at] < 2 * n))
             for k in range(0, len(at), 4096):
                 some = at[k:k + 4096]
                 size[some], ids = of(words.take(pa.array(some)).to_pylist(), after[k:k + 4096])
+                begin[some] = held + np.cumsum(size[some]) - size[some]
                 found.append(ids)
-        ids = np.concatenate([np.zeros(0, np.int32), *found])
-        order = np.concatenate([np.nonzero(plain)[0], np.nonzero(~plain)[0]])
-        begin = np.empty(len(which), np.int64)
-        begin[order] = np.cumsum(size[order]) - size[order]
+                held += len(ids)
+        ids = np.concatenate(found)
+        self._keep(words, np.nonzero(plain)[0], size, begin, ids)
         place = (np.cumsum(used, dtype=np.int32) - 1)[code]
         return size.astype(np.int32)[place], ids, begin.astype(np.int32)[place]
 
+    def _keep(self, words: pa.Array, at: np.ndarray, size: np.ndarray, begin: np.ndarray, ids: np.ndarray) -> None:
+        self.seen = None
+        size, begin = size[at], begin[at]
+        if 0 < len(at) <= MOST_SEEN and (total := int(size.sum())) <= 8 * MOST_SEEN:
+            first = np.cumsum(size) - size
+            self.seen = words.take(pa.array(at)), size, first, ids[np.repeat(begin - first, size) + np.arange(total)]
+
     def joined(self, words: list[str], after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sizes, ids) of parts that follow a space and hold none: as one text, in
         which exactly the first id of each part spells a space."""

@@ -238,3 +238,23 @@ def test_rarity_digest(spark):
     alone = rarity.compare_neighbours(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).first()
     assert alone["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and alone["near_next"] == 1.0
     assert rarity.compare_neighbours(df.limit(0)).count() == 0
+
+
+def test_parts_of_the_last_batch_are_not_encoded_again(monkeypatch):
+    BT = batchtokens
+    first = pa.array(["one two, three", "four  five\nsix two", None, " a b ", "ünder one"])
+    then = pa.array(["two, three one new", "one two, three", "", "six five\nsix two", "x <|endoftext|> two"])
+    for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"):
+        for lead in (False, True):
+            enc = type(BT.encoder(public_tokenizers.path(name)))(public_tokenizers.path(name))
+            lists = lambda e: [e.ids[a:b].tolist() for a, b in zip(e.start, e.stop)]
+            want = lists(enc.encode(then, lead))
+            enc.seen = None
+            enc.encode(first, lead)
+            done, joined = [], enc.joined
+            monkeypatch.setattr(enc, "joined", lambda w, after: done.extend(w) or joined(w, after))
+            assert lists(enc.encode(then, lead)) == want
+            assert "new" in done and not {"two,", "three"} & set(done)
+            monkeypatch.setattr(BT, "MOST_SEEN", 0)
+            assert lists(enc.encode(first, lead)) and enc.seen is None and lists(enc.encode(then, lead)) == want
+            monkeypatch.undo()
