@@ -281,3 +281,40 @@ def test_records_that_come_again_are_encoded_together(spark):
     assert sorted(map(tuple, CT.ohe_encode(recs, known).collect())) == [(1, 0.0, [1]), (1, 1.0, [0, 0, 2])]
     hashed = {r.label: len(r.indices) for r in CT.hashed_indices(recs, 1 << 15).collect()}
     assert hashed == {1.0: 4, 0.0: 1}
+
+
+def test_records_are_counted_from_their_text(spark):
+    from tessera.operators import linkage as LK
+
+    odd = ["Ab ab_1 the AB", "", None, "a\0b c", "KKm İx café CAFÉ É", " ,.; ", "the a of", "x" * 40 + "\nx\t\tX", "😀a😀"]
+    recs = spark.createDataFrame(list(enumerate(odd)) + [(0, odd[0]), (0, "ab"), (None, "q q")], "rec_id long, text string").repartition(3)
+    rows = lambda df: sorted((str(r.rec_id), r.token, r.tf) for r in df.collect())
+    want = rows(LK.tf(LK.record_tokens(recs)))
+    assert want and rows(LK.tf(recs)) == want == rows(LK.tf(LK.term_counts(recs), LK.repeated_keys(recs)))
+    assert "BatchEvalPython" not in physical_plan(LK.term_counts(recs)) and "filter(" not in physical_plan(LK.term_counts(recs))
+
+
+def test_lengths_and_units_of_wanted_records(spark):
+    from tessera.operators import linkage as LK
+
+    a = [(i, " ".join(f"w{j}" for j in range(i, i + 4))) for i in range(1, 9)] + [(2, "w2 w3 w3"), (2, "w9 w2 w3"), (None, "w1 w2")]
+    b = [(i, " ".join(f"w{j % 11} z{i}" for j in range(i, i * 2))) for i in range(1, 30)] + [(3, "w3 w4 w5 z3"), (31, "z31"), (32, "")]
+    frames = [spark.createDataFrame(r, "rec_id long, text string").repartition(2) for r in (a, b)]
+    texts = LK.corpus_union(*frames)
+    counted, again = LK.term_counts(texts), LK.repeated_keys(texts)
+    tf = LK.tf(counted, again)
+    idf = LK.idf_from_tf(tf, len(a) + len(b)).cache()
+    w = LK.tfidf(tf, idf)
+    want = {(r.source, r.rec_id): r.norm for r in LK.norms(w).collect()}
+    both = {(r.source, r.rec_id): r.norm for r in LK.norms(w.where("shared")).collect()}
+    for most in (0, 900, 2000, 1 << 30):
+        got = {(r.source, r.rec_id): r for r in LK.lengths(tf, idf, most).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(r.norm - want[k]) < 1e-12 * want[k] and abs(r.shared - both.get(k, 0.0)) < 1e-9 for k, r in got.items())
+    pairs = spark.createDataFrame([(2, 3), (2, 30), (5, 7)], "id_a long, id_b long")
+    norm = LK.of_pairs(LK.lengths(tf, idf), pairs)
+    rows = lambda df: sorted((r.source, r.rec_id, r.token, round(r.u, 12)) for r in df.collect())
+    whole = [r for r in rows(LK.normalized(w)) if (r[0], r[1]) in {("A", 2), ("A", 5), ("B", 3), ("B", 7)}]
+    assert rows(LK.units(counted, idf, norm, again)) == whole
+    plan = LK.units(counted, idf, norm, again)._jdf.queryExecution().optimizedPlan().toString()
+    assert min(plan.find(x) for x in ("Join Inner, ((source",)) >= 0 and plan.rfind("Join Inner, ((source") > plan.find("Generate")
