@@ -318,3 +318,21 @@ def test_lengths_and_units_of_wanted_records(spark):
     assert rows(LK.units(counted, idf, norm, again)) == whole
     plan = LK.units(counted, idf, norm, again)._jdf.queryExecution().optimizedPlan().toString()
     assert min(plan.find(x) for x in ("Join Inner, ((source",)) >= 0 and plan.rfind("Join Inner, ((source") > plan.find("Generate")
+
+
+def test_common_tokens_are_listed_while_candidates_are_verified(spark):
+    from tessera.operators import linkage as LK
+
+    near = [(1, "x", 0.8), (1, "y", 0.6), (2, "x", 0.1), (2, "z", 0.995), (None, "x", 1.0), (3, "y", 1.0), (3, "y", 1.0)]
+    ua = spark.createDataFrame(near, "rec_id long, token string, u double")
+    ub = spark.createDataFrame([(7, "x", 0.8), (7, "y", 0.6), (8, "x", 0.1), (8, "w", 0.995)], ua.schema)
+    pairs = spark.createDataFrame([(1, 7), (1, 8), (2, 8), (2, 7), (3, 7)], "id_a long, id_b long")
+    for least in (0.01, 0.05, 0.9):
+        kept = LK.cosine_of_pairs(pairs, ua, ub).where(F.col("sim") >= least)
+        want = sorted(map(str, LK.common_tokens(kept, ua, ub).collect()))
+        both = LK.common_tokens(pairs, ua, ub, least)
+        assert want and sorted(map(str, both.collect())) == want
+        plan = both._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join Inner") == 2  # each side is joined once
+    counted = both.select("id_a", "id_b", "n_common")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in counted
