@@ -336,3 +336,28 @@ def test_common_tokens_are_listed_while_candidates_are_verified(spark):
         assert plan.count("Join Inner") == 2  # each side is joined once
     counted = both.select("id_a", "id_b", "n_common")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in counted
+
+
+def test_total_similarity_comes_from_products_with_token_sums(spark):
+    from tessera.catalog.analyses import _Link
+    from tessera.operators import linkage as LK
+
+    a = [(i, " ".join(f"w{j}" for j in range(i, i + 4))) for i in range(1, 9)] + [(2, "w2 w3 w3"), (2, "w9 w2 w3"), (None, "w1 w2")]
+    b = [(i, " ".join(f"w{j % 11} z{i}" for j in range(i, i * 2))) for i in range(1, 30)] + [
+        (3, "w3 w4 w5 z3"), (31, "z31"), (32, ""), (None, "w1 z1")]
+    texts = LK.corpus_union(*[spark.createDataFrame(r, "rec_id long, text string").repartition(2) for r in (a, b)])
+    tf = LK.tf(texts)
+    idf = LK.idf_from_tf(tf, len(a) + len(b)).cache()
+    unit = LK.normalized(LK.tfidf(tf, idf))
+    ua, ub = (unit.where(F.col("source") == x).drop("source") for x in "AB")
+    want = LK.similarity_total(ua, ub).first()["total"]
+    for most in (0, 900, 2000, 1 << 30):
+        got = LK.lengths(tf.where(F.col("source") == "B"), LK.weighed(idf, ua), most)
+        assert abs(LK.similarity_total(ua, got).first()["total"] - want) < 1e-9 * want
+    link = _Link(spark, SF_SMALL)
+    ua, products = link.products
+    assert "token" not in products.columns  # no vector of B is made
+    total = LK.similarity_total(ua, products).first()["total"]
+    assert abs(LK.similarity_total(*link.every_unit).first()["total"] - total) < 1e-9 * max(1, total)
+    known, alone = ({(r.source, r.rec_id): (r.norm, r.shared) for r in x.lengths.collect()} for x in (link, _Link(spark, SF_SMALL)))
+    assert known.keys() == alone.keys() and all(abs(known[k][i] - alone[k][i]) <= 1e-9 * alone[k][0] for k in alone for i in (0, 1))
