@@ -361,3 +361,27 @@ def test_total_similarity_comes_from_products_with_token_sums(spark):
     assert abs(LK.similarity_total(*link.every_unit).first()["total"] - total) < 1e-9 * max(1, total)
     known, alone = ({(r.source, r.rec_id): (r.norm, r.shared) for r in x.lengths.collect()} for x in (link, _Link(spark, SF_SMALL)))
     assert known.keys() == alone.keys() and all(abs(known[k][i] - alone[k][i]) <= 1e-9 * alone[k][0] for k in alone for i in (0, 1))
+
+
+def test_every_pair_that_shares_a_token_is_reported(spark, tmp_path, monkeypatch):
+    from tessera.operators import linkage as LK
+
+    frequent = [f"word {' '.join(f'own{i}x{j}' for j in range(300))}" for i in range(40)]
+    items = [(1, "word rare alpha"), (2, "alpha beta"), (3, "lonely"), (None, "word")]
+    docs = [*enumerate(frequent, 100), (200, "beta rare word word"), (201, "none of these"), (None, "alpha")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(a, b): sorted(set(x.split()) & set(y.split())) for a, x in items for b, y in docs
+            if None not in (a, b) and set(x.split()) & set(y.split())}
+    rows = lambda key: QUERIES[key](spark, str(tmp_path)).collect()
+    sims = {(r.id_a, r.id_b): r.sim for r in rows("er_cosine_inverted")}
+    assert sims.keys() == want.keys() and min(sims.values()) < 0.01 < max(sims.values())
+    assert {(r.id_a, r.id_b): r.tokens.split() for r in rows("er_common_tokens")} == want
+    assert {(r.id_a, r.id_b): r.n_common for r in rows("join_token_inverted")} == {k: len(v) for k, v in want.items()}
+    # a side that is not broadcast: the records of frequent tokens are split among parts
+    monkeypatch.setattr(LK, "broadcast_pinned", lambda df: df)
+    a, b = [spark.createDataFrame([(t, i) for i, x in side for t in set(x.split())], "token string, rec_id long")
+            for side in (items, docs)]
+    got = LK.token_pairs(a, b, per_part=7).collect()
+    assert len(got) == sum(map(len, want.values())) and {(r.id_a, r.id_b) for r in got} == want.keys()
+    assert len({r.part for r in got}) == 6
