@@ -385,3 +385,32 @@ def test_every_pair_that_shares_a_token_is_reported(spark, tmp_path, monkeypatch
     got = LK.token_pairs(a, b, per_part=7).collect()
     assert len(got) == sum(map(len, want.values())) and {(r.id_a, r.id_b) for r in got} == want.keys()
     assert len({r.part for r in got}) == 6
+
+
+def test_rows_are_measured_not_files_before_a_broadcast(spark, tmp_path):
+    from tessera.plans import broadcast_if_small
+
+    spark.range(20_000).select("id", F.lit("one and the same long name").alias("name")).repartition(1).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    assert int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 400_000  # of the compressed file
+    rows = spark.range(50).withColumnRenamed("id", "k")
+    join = lambda most: rows.join(broadcast_if_small(t, most), F.col("k") == F.col("id"))
+    assert "BroadcastHashJoin" not in physical_plan(join(400_000)) and join(400_000).count() == 50
+    assert "BroadcastHashJoin" in physical_plan(join(2_000_000)) and join(2_000_000).count() == 50
+
+
+@pytest.mark.parametrize("key", ["ctr_logreg", "ctr_logreg_hashed", "ctr_evaluate"])
+def test_click_records_are_joined_once(spark, monkeypatch, key):
+    from tessera.catalog import analyses as AN
+
+    clicks = AN.S.ad_clicks(spark, SF_SMALL)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(AN.S, "ad_clicks", lambda spark, sf: clicks.mapInArrow(count, clicks.schema))
+    assert QUERIES[key](spark, SF_SMALL).count() > 0
+    assert read.value == clicks.count()
