@@ -64,9 +64,11 @@ def indexed(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def als(rank: int, seed: int = 42, max_iter: int = 5, reg: float = 0.1, blocks: int = 10) -> ALS:
     """``blocks``: how many parts the user and the item factors each are dealt to;
-    raise it with the cluster.  Works on the dense ids of ``indexed``."""
+    raise it with the cluster.  Works on the dense ids of ``indexed``.  Factors are
+    checkpointed after every pass: the shuffle files of the one before can go then."""
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_ix", numUserBlocks=blocks,
-               numItemBlocks=blocks, itemCol="item_ix", ratingCol="rating", coldStartStrategy="drop")
+               numItemBlocks=blocks, itemCol="item_ix", ratingCol="rating", coldStartStrategy="drop",
+               checkpointInterval=1)
 
 
 def rmse(pred: DataFrame) -> float:

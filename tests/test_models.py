@@ -165,3 +165,15 @@ def test_numbered_ratings_carry_no_ids(spark):
     assert sorted((r.user_ix, r.item_ix, r.rating) for r in numbered.collect()) == [(0, 1, 1.0), (1, 0, 3.0), (2, 1, 2.0)]
     assert set(numbered.columns) == {"user_ix", "item_ix", "rating"}
     assert sorted(map(tuple, items.collect())) == [(5, 0), (7, 1)]
+
+
+def test_factors_are_checkpointed_every_pass_and_stay_the_same(spark):
+    from tessera.operators import ratings as RT
+
+    df = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(9) if (u + i) % 4],
+                               "user_ix int, item_ix int, rating double")
+    estimator = RT.als(3)
+    assert estimator.getCheckpointInterval() == 1
+    never = RT.als(3).setCheckpointInterval(-1)
+    factors = [{r.id: list(r.features) for r in e.fit(df).itemFactors.collect()} for e in (estimator, never)]
+    assert factors[0] == factors[1] and len(factors[0]) == 9
